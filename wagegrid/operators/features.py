@@ -122,27 +122,35 @@ FEATURE_SETS = {
 }
 
 
-def feature_stages(
-    df: DataFrame, feature_set: str, *, title: str = "Title", synopsis: str = "Synopsis",
+def block_stages(
+    df: DataFrame, blocks: tuple[str, ...], *, title: str = "Title", synopsis: str = "Synopsis",
     city: str = "City", state: str = "State Initials", words: list[str] | None = None,
     title_terms: int = fixed_values.TITLE_TERMS,
     synopsis_terms: int = fixed_values.SYNOPSIS_TERMS, binary: bool = False,
 ) -> list:
+    """Pipeline stages that add one vector per block, named like the block."""
+    made = {
+        "city": lambda: one_hot_stages(city, "city"),
+        "state": lambda: one_hot_stages(state, "state"),
+        "flags": lambda: [TitleFlags(inputCol=title, outputCol="flags", words=words)],
+        "title_terms": lambda: _term_stages(
+            df, title, "title_terms", title_terms, True, binary
+        ),
+        "synopsis_terms": lambda: _term_stages(
+            df, synopsis, "synopsis_terms", synopsis_terms, False, binary
+        ),
+    }
+    return [stage for block in blocks for stage in made[block]()]
+
+
+def assembler(feature_set: str) -> VectorAssembler:
+    """The blocks of a feature set side by side in ``features``."""
+    return VectorAssembler(inputCols=list(FEATURE_SETS[feature_set]), outputCol="features")
+
+
+def feature_stages(df: DataFrame, feature_set: str, **options) -> list:
     """Pipeline stages that end in a ``features`` vector of the given set."""
-    blocks = FEATURE_SETS[feature_set]
-    stages: list = []
-    for block in blocks:
-        if block == "city":
-            stages += one_hot_stages(city, block)
-        elif block == "state":
-            stages += one_hot_stages(state, block)
-        elif block == "flags":
-            stages.append(TitleFlags(inputCol=title, outputCol=block, words=words))
-        elif block == "title_terms":
-            stages += _term_stages(df, title, block, title_terms, True, binary)
-        elif block == "synopsis_terms":
-            stages += _term_stages(df, synopsis, block, synopsis_terms, False, binary)
-    return [*stages, VectorAssembler(inputCols=list(blocks), outputCol="features")]
+    return [*block_stages(df, FEATURE_SETS[feature_set], **options), assembler(feature_set)]
 
 
 def assemble(df: DataFrame, feature_set: str, **options) -> PipelineModel:

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 ROWS_PER_SLICE = 2_000_000
 #: Most slices, which bounds the sample on the driver and the table of offsets.
 MAX_SLICES = 20_000
+#: Most group counts taken to the driver; more stay a distributed table.
+MAX_GROUPS = 100_000
 _SAMPLE_PER_SLICE = 40
 
 
@@ -45,6 +47,17 @@ def _limits(df: DataFrame, key: str, rows_per_slice: int) -> list[float]:
     return sorted(set(picked))
 
 
+def _counts(df: DataFrame, *by: str) -> DataFrame:
+    """Rows per group.  While the groups are few their counts become a local
+    table, whose known size lets Spark broadcast it; more of them stay distributed.
+    """
+    counted = df.groupBy(*by).agg(F.count("*").alias("_n"))
+    found = counted.limit(MAX_GROUPS + 1).collect()
+    if len(found) > MAX_GROUPS:
+        return counted
+    return df.sparkSession.createDataFrame(found, counted.schema)
+
+
 def row_numbers(
     df: DataFrame, key: str, *, within: tuple[str, ...] = (), name: str = "position",
     rows_per_slice: int = ROWS_PER_SLICE,
@@ -61,15 +74,14 @@ def row_numbers(
         splits=[float("-inf"), *limits, float("inf")], inputCol="_key", outputCol="_slice"
     )
     sliced = cut.transform(df.withColumn("_key", _key_as_double(df, key))).drop("_key")
-    groups = [F.coalesce(F.col(w).cast("string"), F.lit("\0")).alias(f"_g{i}")
-              for i, w in enumerate(within)]
     tags = [f"_g{i}" for i in range(len(within))]
-    sliced = sliced.select("*", *groups)
+    for tag, column in zip(tags, within):
+        sliced = sliced.withColumn(tag, F.coalesce(F.col(column).cast("string"), F.lit("\0")))
     before = Window.partitionBy(*tags).orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, -1
     )
     offsets = (
-        sliced.groupBy(*tags, "_slice").agg(F.count("*").alias("_n"))
+        _counts(sliced, *tags, "_slice")
         .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         .drop("_n")
     )
@@ -93,7 +105,7 @@ def stratified_folds(
     """Fold 0..k-1 for every row: each class is dealt in ``k`` runs of near-equal
     length in the order of ``key``, longer runs first.
     """
-    sizes = df.groupBy(F.col(label).alias("_label")).agg(F.count("*").alias("_size"))
+    sizes = _counts(df, label).withColumnsRenamed({label: "_label", "_n": "_size"})
     placed = row_numbers(
         df, key, within=(label,), name="_pos", rows_per_slice=rows_per_slice
     )

@@ -57,31 +57,36 @@ def write_csv(spark, folder):
 
 _DETAILS_SQL = """
 SELECT CAST(o_orderkey AS VARCHAR) AS job_id, o_orderstatus AS title, o_orderpriority AS company,
-       strftime(o_orderdate, '%Y%m%d %H:%M') AS stamp,
+       strftime(o_orderdate, '%Y%m%d %H:%M') AS searched, '{}' AS loaded,
        o_totalprice AS company_rating, CAST(o_custkey AS INTEGER) AS company_rating_count
 FROM orders"""
 
 
-@query("append_details", f"{_DETAILS_SQL} UNION ALL {_DETAILS_SQL}")
+@query(
+    "append_details",
+    f"{_DETAILS_SQL.format('20240601 08:30')} UNION ALL {_DETAILS_SQL.format('20240602 09:15')}",
+)
 def append_details(spark, folder):
+    """Two runs append the same postings, each under the stamp of its run."""
     text = F.lit(None).cast("string")
-    stamp = F.date_format("o_orderdate", "yyyyMMdd HH:mm")
     details = table(spark, folder, "orders").select(
         F.col("o_orderkey").cast("string").alias("job_id"),
-        stamp.alias("search_datetime"),
+        F.date_format("o_orderdate", "yyyyMMdd HH:mm").alias("search_datetime"),
         *[text.alias(n) for n in ("location", "search_title", "search_location", "job_desc")],
-        stamp.alias("search_detail_datetime"),
         F.col("o_orderstatus").alias("title"),
         F.col("o_orderpriority").alias("company"),
         F.col("o_totalprice").cast("string").alias("company_rating"),
         F.col("o_custkey").cast("string").alias("company_rating_count"),
     )
     path = settings.new_folder(spark, "details")
-    writers.append_details(details, path)
-    writers.append_details(details, path)
+    for stamp in ("20240601 08:30", "20240602 09:15"):
+        writers.append_details(
+            details.withColumn("search_detail_datetime", F.lit(stamp)), path
+        )
     return spark.read.schema(schemas.JOB_DETAILS).parquet(path).select(
         "job_id", "title", "company",
-        F.date_format("search_detail_datetime", "yyyyMMdd HH:mm").alias("stamp"),
+        F.date_format("search_datetime", "yyyyMMdd HH:mm").alias("searched"),
+        F.date_format("search_detail_datetime", "yyyyMMdd HH:mm").alias("loaded"),
         "company_rating", "company_rating_count",
     )
 

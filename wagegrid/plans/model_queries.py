@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from wagegrid import fixed_values, settings
 from wagegrid.operators import features, models, positions, stats
@@ -11,16 +11,20 @@ from wagegrid.plans import standins
 from wagegrid.plans.registry import query
 
 
+def _postings(spark: SparkSession, folder: str) -> DataFrame:
+    """Labelled postings, joined once and written, as fitting reads them several times."""
+    return settings.written(standins.labelled_postings(spark, folder), "postings")
+
+
 def training_rows(
     spark: SparkSession, folder: str, feature_set: str, k: int = fixed_values.FOLDS
 ) -> tuple[DataFrame, list[str]]:
     """doc_id, label, fold and features, written once for the many jobs of training."""
-    rows = standins.labelled_postings(spark, folder)
+    rows = _postings(spark, folder)
     model = features.assemble(rows, feature_set)
-    folded = positions.stratified_folds(
-        model.transform(rows).select("doc_id", "label", "features"), "label", "doc_id", k
-    )
-    return settings.written(folded, "training"), features.feature_names(model)
+    folded = positions.stratified_folds(rows.select("doc_id", "label"), "label", "doc_id", k)
+    made = model.transform(rows).select("doc_id", "features").join(folded, "doc_id")
+    return settings.written(made, "training"), features.feature_names(model)
 
 
 def _scored(spark, folder, feature_set, maker, k=fixed_values.FOLDS):
@@ -86,7 +90,7 @@ def coefficients(spark, folder):
 
 @query("score_postings")
 def score_postings(spark, folder):
-    labelled = standins.labelled_postings(spark, folder)
+    labelled = _postings(spark, folder)
     stages = features.feature_stages(labelled, "synopses")
     model = models.study(labelled, stages, models.logistic())
     rest = standins.unlabelled_postings(spark, folder)
@@ -95,8 +99,22 @@ def score_postings(spark, folder):
 
 @query("compare_models")
 def compare_models(spark, folder):
-    sets = ("places", "flags", "titles", "synopses")
-    frames = {name: training_rows(spark, folder, name)[0] for name in sets}
-    runs = [("logistic", name, models.logistic()) for name in sets]
-    runs += [("linear svm", name, models.linear_svm()) for name in sets]
+    """All blocks are made once; each feature set puts its own side by side."""
+    rows = _postings(spark, folder)
+    blocks = ("city", "state", "flags", "title_terms", "synopsis_terms")
+    made = Pipeline(stages=features.block_stages(rows, blocks)).fit(rows).transform(rows)
+    folded = positions.stratified_folds(
+        rows.select("doc_id", "label"), "label", "doc_id", fixed_values.FOLDS
+    )
+    stored = settings.written(made.select("doc_id", *blocks).join(folded, "doc_id"), "blocks")
+    frames = {
+        name: features.assembler(name).transform(stored).select("label", "fold", "features")
+        for name in features.FEATURE_SETS
+    }
+    runs = [("logistic", name, models.logistic()) for name in frames]
+    runs += [("random forest", name, models.random_forest()) for name in ("titles", "synopses")]
+    runs += [
+        ("linear svm", "titles", models.linear_svm()),
+        ("rbf svm", "synopses", models.rbf_svm()),
+    ]
     return models.compare_models(frames, runs, parallelism=fixed_values.FOLDS)
