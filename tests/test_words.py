@@ -33,18 +33,16 @@ def test_pairs_come_after_stop_words(spark):
 
 @settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.lists(st.sampled_from("abcde"), max_size=12), min_size=1, max_size=6))
-def test_counts_in_row(spark, rows):
+def test_term_totals(spark, rows):
     df = spark.createDataFrame(list(enumerate(rows)), "id int, words array<string>")
-    found = {(r.id, r.term): r.n for r in words.counts_in_row(df, keep=("id",)).collect()}
-    want = {(i, t): n for i, row in enumerate(rows) for t, n in Counter(row).items()}
-    assert found == want
-
-
-def test_counts_need_no_shuffle(spark, sf):
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    tokens = words.tokenize_words(docs.select("doc_id", "text"))
-    plan = words.counts_in_row(tokens, keep=("doc_id",))._jdf.queryExecution().toString()
-    assert "Exchange" not in plan
+    found = {r.term: (r.n, r.n_rows) for r in terms.term_totals(df).collect()}
+    uses = Counter(t for row in rows for t in row)
+    in_rows = Counter(t for row in rows for t in set(row))
+    assert found == {t: (uses[t], in_rows[t]) for t in uses}
+    counts = {
+        (r.id, r.term): r.n for r in terms.term_counts(df, "id", size=9, min_rows=1).collect()
+    }
+    assert counts == {(i, t): n for i, row in enumerate(rows) for t, n in Counter(row).items()}
 
 
 def test_weights_agree_with_ml(spark):

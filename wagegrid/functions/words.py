@@ -1,4 +1,4 @@
-"""Words of texts: tokens, stop words, pairs and counts per row."""
+"""Words of texts: tokens, stop words and pairs."""
 
 from __future__ import annotations
 
@@ -41,26 +41,3 @@ def remove_stop_words(
 def bigrams(df: DataFrame, words: str = "kept", out: str = "pairs") -> DataFrame:
     """Neighbouring word pairs, joined by a blank."""
     return NGram(n=2, inputCol=words, outputCol=out).transform(df)
-
-
-def counts_in_row(df: DataFrame, words: str = "words", keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per row and distinct word: ``keep``, ``term``, ``n``.
-
-    The words of a row are sorted inside the row and counted by the places
-    where a new word starts, so no shuffle by (row, word) is needed: the counts
-    of a row come from the task that read it.
-    """
-    sorted_words = df.select(*keep, F.array_sort(words).alias("_w")).where(F.size("_w") > 0)
-    starts = sorted_words.withColumn(
-        "_s",
-        F.filter(
-            F.sequence(F.lit(0), F.size("_w") - 1),
-            lambda i: (i == 0) | (F.get("_w", i) != F.get("_w", i - 1)),
-        ),
-    )
-    spans = F.zip_with(
-        "_s",
-        F.concat(F.slice("_s", F.lit(2), F.size("_s")), F.array(F.size("_w"))),
-        lambda a, b: F.struct(F.get("_w", a).alias("term"), (b - a).cast("long").alias("n")),
-    )
-    return starts.select(*keep, F.inline(spans))

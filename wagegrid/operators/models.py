@@ -18,7 +18,7 @@ from pyspark.ml.classification import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wagegrid import fixed_values
+from wagegrid import fixed_values, settings
 from wagegrid.operators import stats
 from wagegrid.operators.stages import FourierFeatures
 
@@ -180,7 +180,8 @@ def study(
     without a salary uses the vocabularies and places of training.
     """
     features = Pipeline(stages=stages).fit(labelled)
-    model = fit(features.transform(labelled), maker, label)
+    rows = features.transform(labelled).select(label, "features")
+    model = fit(settings.written(rows, "study", compact=True), maker, label)
     return PipelineModel(stages=[*features.stages, model])
 
 

@@ -7,18 +7,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wagegrid import fixed_values, settings
-from wagegrid.functions.words import counts_in_row
 
 
-def term_totals(df: DataFrame, words: str = "words") -> DataFrame:
-    """``term``, ``n`` (all uses) and ``n_rows`` (rows that use it).
+def term_totals(df: DataFrame, words: str = "words", rows_too: bool = True) -> DataFrame:
+    """``term``, ``n`` (all uses) and, with ``rows_too``, ``n_rows`` (rows that use it).
 
-    Counts are made inside each row and combined in each task, so a shuffle
-    carries one line per term and task, also for terms that are everywhere.
+    Uses are combined in each task, so a shuffle carries one line per term and
+    task, also for terms that are everywhere.  Rows with a term are counted
+    from the distinct words of each row in the same pass, without bringing
+    (row, term) pairs together.
     """
-    per_row = counts_in_row(df, words)
-    return per_row.groupBy("term").agg(
-        F.sum("n").alias("n"), F.count("*").alias("n_rows")
+    if not rows_too:
+        used = df.select(F.explode(words).alias("term"))
+        return used.groupBy("term").agg(F.count("*").alias("n"))
+    both = df.select(
+        F.posexplode(F.array(words, F.array_distinct(words))).alias("distinct", "listed")
+    )
+    used = both.select("distinct", F.explode("listed").alias("term"))
+    return used.groupBy("term").agg(
+        F.count_if(F.col("distinct") == 0).alias("n"),
+        F.count_if(F.col("distinct") == 1).alias("n_rows"),
     )
 
 
@@ -26,10 +34,27 @@ def top_terms(
     df: DataFrame, words: str = "words", n: int = fixed_values.TITLE_TERMS, min_rows: int = 1
 ) -> DataFrame:
     """The ``n`` most frequent terms used by at least ``min_rows`` rows; ties by term."""
-    totals = term_totals(df, words).where(F.col("n_rows") >= min_rows)
+    totals = term_totals(df, words, rows_too=min_rows > 1)
+    if min_rows > 1:
+        totals = totals.where(F.col("n_rows") >= min_rows)
     return totals.orderBy(F.desc("n"), F.asc("term")).limit(n)
 
 
+def _counts_of(
+    df: DataFrame, id_column: str, words: str, vocabulary: DataFrame, size: int
+) -> DataFrame:
+    """Counts of a vocabulary of at most ``size`` terms, per row.
+
+    Other words are dropped where they are read; a row's counts are complete
+    in its task, so at most ``size`` lines per row are shuffled.
+    """
+    if size <= settings.BROADCAST_ROWS:
+        vocabulary = F.broadcast(vocabulary)
+    used = df.select(id_column, F.explode(words).alias("term")).join(vocabulary, "term")
+    extra = [c for c in vocabulary.columns if c != "term"]
+    return used.groupBy(id_column, "term", *extra).agg(F.count("*").alias("n"))
+
+
 def term_counts(
     df: DataFrame, id_column: str, words: str = "words", *,
     size: int = fixed_values.TFIDF_VOCABULARY, min_rows: int = fixed_values.TFIDF_MIN_ROWS,
@@ -40,9 +65,7 @@ def term_counts(
     ``binary`` keeps presence (1) in place of the count.
     """
     vocabulary = top_terms(df, words, size, min_rows).select("term")
-    if size <= settings.BROADCAST_ROWS:  # the list has at most ``size`` rows
-        vocabulary = F.broadcast(vocabulary)
-    counted = counts_in_row(df, words, keep=(id_column,)).join(vocabulary, "term")
+    counted = _counts_of(df, id_column, words, vocabulary, size)
     n = F.lit(1).cast("long") if binary else F.col("n")
     return counted.select(id_column, "term", n.alias("n"))
 
@@ -53,12 +76,13 @@ def tfidf(
 ) -> DataFrame:
     """``n * ln((rows + 1) / (rows with term + 1))`` of the ``size`` top terms per row."""
     rows = df.agg(F.count("*").alias("m")).scalar()
-    weights = top_terms(df, words, size, min_rows).select(
-        "term", F.log((rows + 1) / (F.col("n_rows") + 1)).alias("idf")
+    totals = term_totals(df, words).where(F.col("n_rows") >= min_rows)
+    weights = (
+        totals.orderBy(F.desc("n"), F.asc("term"))
+        .limit(size)
+        .select("term", F.log((rows + 1) / (F.col("n_rows") + 1)).alias("idf"))
     )
-    if size <= settings.BROADCAST_ROWS:  # the list has at most ``size`` rows
-        weights = F.broadcast(weights)
-    counted = counts_in_row(df, words, keep=(id_column,)).join(weights, "term")
+    counted = _counts_of(df, id_column, words, weights, size)
     return counted.select(
         id_column, "term", "n", (F.col("n") * F.col("idf")).alias("weight")
     )

@@ -6,6 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wagegrid import settings
 from wagegrid.functions import salary
 from wagegrid.operators import cleaning, features, positions, stats
 from wagegrid.plans import standins
@@ -104,7 +105,9 @@ UNION ALL SELECT doc_id, 'title_terms=' || p.term, n::DOUBLE FROM pair p JOIN to
 UNION ALL SELECT doc_id, 'synopsis_terms=' || w.term, n::DOUBLE FROM word w JOIN top_word t ON w.term = t.term""",
 )
 def assemble(spark, folder):
-    rows = standins.labelled_postings(spark, folder)
+    rows = settings.spread(
+        settings.written(standins.labelled_postings(spark, folder), "postings")
+    )
     model = features.assemble(rows, "synopses")
     names = F.array(*[F.lit(n) for n in features.feature_names(model)])
     return (

@@ -13,7 +13,9 @@ from wagegrid.plans.registry import query
 
 def _postings(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled postings, joined once and written, as fitting reads them several times."""
-    return settings.written(standins.labelled_postings(spark, folder), "postings")
+    return settings.spread(
+        settings.written(standins.labelled_postings(spark, folder), "postings")
+    )
 
 
 def training_rows(
@@ -24,7 +26,7 @@ def training_rows(
     model = features.assemble(rows, feature_set)
     folded = positions.stratified_folds(rows.select("doc_id", "label"), "label", "doc_id", k)
     made = model.transform(rows).select("doc_id", "features").join(folded, "doc_id")
-    return settings.written(made, "training"), features.feature_names(model)
+    return settings.written(made, "training", compact=True), features.feature_names(model)
 
 
 def _scored(spark, folder, feature_set, maker, k=fixed_values.FOLDS):
@@ -106,7 +108,9 @@ def compare_models(spark, folder):
     folded = positions.stratified_folds(
         rows.select("doc_id", "label"), "label", "doc_id", fixed_values.FOLDS
     )
-    stored = settings.written(made.select("doc_id", *blocks).join(folded, "doc_id"), "blocks")
+    stored = settings.written(
+        made.select("doc_id", *blocks).join(folded, "doc_id"), "blocks", compact=True
+    )
     frames = {
         name: features.assembler(name).transform(stored).select("label", "fold", "features")
         for name in features.FEATURE_SETS

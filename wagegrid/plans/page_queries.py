@@ -8,7 +8,7 @@ from wagegrid import fixed_values
 from wagegrid.functions import markup, salary
 from wagegrid.operators import pages
 from wagegrid.plans import standins
-from wagegrid.plans.registry import query, table
+from wagegrid.plans.registry import query, table, texts
 
 
 def _decoded(sql: str) -> str:
@@ -48,7 +48,7 @@ FROM (SELECT page_id, unnest(range(len(a))) AS card_no, unnest(a) AS link_text,
 )
 def explode_cards(spark, folder):
     return pages.explode_cards(
-        table(spark, folder, "pages"),
+        texts(spark, folder, "pages", "page_id", "html"),
         cards=[("li", None, None)],
         fields={
             "link_text": ("a", None, None, "text"),
@@ -72,7 +72,7 @@ _PAGE_AS_CARD = {
 def _page_cards(spark, folder):
     return pages.card_fields(
         pages.explode_cards(
-            table(spark, folder, "pages"), cards=[("html", None, None)], fields=_PAGE_AS_CARD
+            texts(spark, folder, "pages", "page_id", "html"), cards=[("html", None, None)], fields=_PAGE_AS_CARD
         )
     )
 
@@ -103,7 +103,7 @@ def card_fields(spark, folder):
 @query("card_salary", f"SELECT page_id, {_SALARY} AS salary FROM pages")
 def card_salary(spark, folder):
     raw = pages.explode_cards(
-        table(spark, folder, "pages"), cards=[("html", None, None)],
+        texts(spark, folder, "pages", "page_id", "html"), cards=[("html", None, None)],
         fields={
             "salary_span": fixed_values.CARD_FIELDS["salary_span"],
             "salary_nobr": ("b", None, None, "text"),
@@ -115,7 +115,7 @@ def card_salary(spark, folder):
 @query("card_job_id", f"SELECT page_id, {_ID} AS job_id FROM pages")
 def card_job_id(spark, folder):
     link = markup.first_attribute("html", "a", "href")
-    return table(spark, folder, "pages").select(
+    return texts(spark, folder, "pages", "page_id", "html").select(
         "page_id", markup.job_id_of_link(link).alias("job_id")
     )
 
@@ -133,7 +133,7 @@ FROM pages""",
 )
 def detail_fields(spark, folder):
     return pages.detail_fields(
-        table(spark, folder, "pages"),
+        texts(spark, folder, "pages", "page_id", "html"),
         fields={
             "share_url": ("a", None, None, "href"),
             "title": ("h1", None, None, "text"),
@@ -146,7 +146,7 @@ def detail_fields(spark, folder):
 
 @query("strip_tags", f"SELECT page_id, {_trimmed(_decoded(_untagged(_SEEN)))} AS text FROM pages")
 def strip_tags(spark, folder):
-    return table(spark, folder, "pages").select(
+    return texts(spark, folder, "pages", "page_id", "html").select(
         "page_id", markup.strip_tags("html").alias("text")
     )
 
@@ -166,7 +166,7 @@ FROM (SELECT page_id, unnest(range(len(a) - 1)) AS item_no, unnest(a[2:]) AS ite
     + _items("p", "p|li|ul|ol|td|th|div|article|section|main|body"),
 )
 def list_items(spark, folder):
-    captured = table(spark, folder, "pages")
+    captured = texts(spark, folder, "pages", "page_id", "html")
     both = [
         pages.list_items(captured, tag).withColumn("tag", F.lit(tag)) for tag in ("li", "p")
     ]

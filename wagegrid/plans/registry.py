@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wagegrid import settings
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -28,3 +30,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def texts(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
+    """Long texts or pages, dealt over the cores, as parsing them is heavy per row."""
+    return settings.spread(table(spark, folder, name).select(*columns))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wagegrid.plans.registry import table
+from wagegrid.plans.registry import table, texts
 
 
 def _dollars(value: Column) -> Column:
@@ -119,20 +119,21 @@ FROM (SELECT c_custkey, '{{"titles": "''' || lower(c_mktsegment)
       FROM customer))"""
 
 
-def labelled_postings(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents with a quality label, named like postings."""
-    documents = table(spark, folder, "documents").select(
+def _postings(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents named like postings."""
+    return texts(spark, folder, "documents", "doc_id", "text", "source", "lang").select(
         "doc_id", F.col("text").alias("Title"), F.col("text").alias("Synopsis"),
         F.col("source").alias("City"), F.col("lang").alias("State Initials"),
     )
+
+
+def labelled_postings(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with a quality label."""
     labels = table(spark, folder, "labels").select("doc_id", F.col("quality").alias("label"))
-    return documents.join(labels, "doc_id", "inner")
+    return _postings(spark, folder).join(labels, "doc_id", "inner")
 
 
 def unlabelled_postings(spark: SparkSession, folder: str) -> DataFrame:
     """Documents without a label."""
-    documents = table(spark, folder, "documents").select(
-        "doc_id", F.col("text").alias("Title"), F.col("text").alias("Synopsis"),
-        F.col("source").alias("City"), F.col("lang").alias("State Initials"),
-    )
-    return documents.join(table(spark, folder, "labels").select("doc_id"), "doc_id", "left_anti")
+    labelled = table(spark, folder, "labels").select("doc_id")
+    return _postings(spark, folder).join(labelled, "doc_id", "left_anti")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wagegrid import fixed_values
 from wagegrid.functions import words
 from wagegrid.operators import terms
-from wagegrid.plans.registry import query, table
+from wagegrid.plans.registry import query, texts
 
 STOP_LIST = ", ".join("'" + w.replace("'", "''") + "'" for w in fixed_values.ENGLISH_STOP_WORDS)
 WORDS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')"
@@ -22,7 +22,7 @@ COUNTS = f"SELECT doc_id, term, COUNT(*) AS n FROM {KEPT_TERMS} GROUP BY doc_id,
 
 
 def kept_words(spark, folder):
-    tokens = words.tokenize_words(table(spark, folder, "documents").select("doc_id", "text"))
+    tokens = words.tokenize_words(texts(spark, folder, "documents", "doc_id", "text"))
     return words.remove_stop_words(tokens.drop("text"))
 
 
@@ -36,12 +36,12 @@ def _joined(df, column):
         AS words FROM documents""",
 )
 def tokenize(spark, folder):
-    return _joined(words.tokenize(table(spark, folder, "documents")), "words")
+    return _joined(words.tokenize(texts(spark, folder, "documents", "doc_id", "text")), "words")
 
 
 @query("tokenize_words", f"SELECT doc_id, array_to_string({WORDS}, ' ') AS words FROM documents")
 def tokenize_words(spark, folder):
-    return _joined(words.tokenize_words(table(spark, folder, "documents")), "words")
+    return _joined(words.tokenize_words(texts(spark, folder, "documents", "doc_id", "text")), "words")
 
 
 @query("remove_stop_words", f"SELECT doc_id, array_to_string({KEPT}, ' ') AS words FROM documents")
@@ -99,7 +99,7 @@ SELECT u.doc_id, u.term, u.n,
 FROM used u JOIN top t ON u.term = t.term""",
 )
 def tfidf(spark, folder):
-    tokens = words.tokenize(table(spark, folder, "documents").select("doc_id", "text"))
+    tokens = words.tokenize(texts(spark, folder, "documents", "doc_id", "text"))
     kept = words.remove_stop_words(tokens.drop("text"))
     weighed = terms.tfidf(kept, "doc_id", "kept")
     return weighed.withColumn("weight", F.round("weight", 6))

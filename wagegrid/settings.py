@@ -38,17 +38,29 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compact: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Used before iterative training: later jobs read files that survive the
-    loss of an executor instead of recomputing the whole lineage.
+    loss of an executor instead of recomputing the whole lineage.  ``compact``
+    lets AQE bring the rows to files of its advisory size, so that the many
+    short jobs of training have no more tasks than the data asks for.
     """
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.hint("rebalance") if compact else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a small input over all cores before work that is heavy per row.
+
+    A short file gives fewer tasks than there are cores.  An input with as many
+    tasks as cores, such as any big table, is left as it is and not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after counting that ``df`` stays below the bound.
 
