@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wagegrid import fixed_values, schemas
+from wagegrid import fixed_values, schemas, settings
 
 #: A request names at most this many titles or places.
 MAX_TERMS = 10_000
@@ -44,11 +44,10 @@ def search_grid(requests: DataFrame) -> DataFrame:
     Both lists sit in the request's row, so the grid is made row by row:
     no join and no shuffle.
     """
-    return (
-        requests.withColumn("search_title", F.explode("titles"))
-        .withColumn("search_location", F.explode("locations"))
-        .drop("titles", "locations")
-        .withColumn("url", search_url("search_title", "search_location"))
+    titled = settings.unfolded(requests, "titles", "search_title")
+    placed = settings.unfolded(titled, "locations", "search_location")
+    return placed.drop("titles", "locations").withColumn(
+        "url", search_url("search_title", "search_location")
     )
 
 

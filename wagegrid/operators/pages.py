@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wagegrid import fixed_values
+from wagegrid import fixed_values, settings
 from wagegrid.functions import markup
 from wagegrid.functions.page_parser import Field, Want, read_fields
 
@@ -91,7 +91,7 @@ def list_items(
     pages: DataFrame, tag: str, html: str = "html", keep: tuple[str, ...] = ("page_id",)
 ) -> DataFrame:
     """All ``li`` or ``p`` of a page in order: ``keep``, ``item_no``, ``item``."""
-    items = pages.select(
-        *keep, F.posexplode(markup.list_items(html, tag)).alias("item_no", "item")
+    items = settings.unfolded(
+        pages.select(*keep, html), markup.list_items(html, tag), "item", "item_no"
     )
-    return items.withColumn("item", markup.trim_blanks(markup.drop_tags("item")))
+    return items.drop(html).withColumn("item", markup.trim_blanks(markup.drop_tags("item")))

@@ -18,7 +18,7 @@ def term_totals(df: DataFrame, words: str = "words", rows_too: bool = True) -> D
     (row, term) pairs together.
     """
     if not rows_too:
-        used = df.select(F.explode(words).alias("term"))
+        used = settings.unfolded(df.select(words), words, "term")
         return used.groupBy("term").agg(F.count("*").alias("n"))
     both = df.select(
         F.posexplode(F.array(words, F.array_distinct(words))).alias("distinct", "listed")
@@ -50,7 +50,8 @@ def _counts_of(
     """
     if size <= settings.BROADCAST_ROWS:
         vocabulary = F.broadcast(vocabulary)
-    used = df.select(id_column, F.explode(words).alias("term")).join(vocabulary, "term")
+    used = settings.unfolded(df.select(id_column, words), words, "term").drop(words)
+    used = used.join(vocabulary, "term")
     extra = [c for c in vocabulary.columns if c != "term"]
     return used.groupBy(id_column, "term", *extra).agg(F.count("*").alias("n"))
 

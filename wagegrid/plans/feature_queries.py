@@ -71,9 +71,14 @@ WITH s AS (SELECT * FROM {SALARIES} WHERE "Salary" <> 'None'
 
 
 def labelled_salaries(spark: SparkSession, folder: str) -> DataFrame:
-    """Listings to labelled salaries: clean, parse, compare with the median."""
+    """Listings to labelled salaries: clean, parse, compare with the median.
+
+    The clean listings are written: the median then reads one column of numbers
+    and the texts are parsed once.
+    """
     listed = cleaning.annual_only(cleaning.drop_sentinel(standins.listings(spark, folder)))
-    return features.above_median(salary.parse_salary(listed), "Average")
+    clean = settings.written(salary.parse_salary(listed), "clean")
+    return features.above_median(clean, "Average")
 
 
 @query(

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A side is broadcast on request only when it has at most this many rows.
@@ -61,6 +61,20 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def unfolded(df: DataFrame, array: str | Column, name: str, position: str | None = None) -> DataFrame:
+    """One row per element of ``array``, as ``name`` (and its ``position`` from 0).
+
+    The outer form with a filter behind it gives the rows of a plain explode.
+    For that, Spark would also filter on the size of the array before the
+    explode, and so work out a costly array (words, items of a page) twice.
+    """
+    if position is None:
+        made = df.withColumn(name, F.explode_outer(array))
+    else:
+        made = df.select("*", F.posexplode_outer(array).alias(position, name))
+    return made.where(F.col(name).isNotNull())
+
+
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after counting that ``df`` stays below the bound.
 
