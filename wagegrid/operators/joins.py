@@ -20,9 +20,10 @@ def join_details(
     """
     if salt <= 1:
         return search.join(details, on, "inner")
-    dealt = search.withColumn(
-        "_salt", F.pmod(F.xxhash64(*search.columns), F.lit(salt)).cast("int")
-    )
+    # By content and by task: equal copies differ in their task, and a task that
+    # is run again deals its rows as before.
+    place = F.xxhash64(*search.columns) + F.spark_partition_id()
+    dealt = search.withColumn("_salt", F.pmod(place, F.lit(salt)).cast("int"))
     repeated = details.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
     return dealt.join(repeated, [on, "_salt"], "inner").drop("_salt")
 
@@ -39,15 +40,18 @@ def latest_per_id(df: DataFrame, by: list[str | Column], on: str = "job_id") ->
     return df.groupBy(on).agg(F.max_by(row, rank).alias("_row")).select(on, "_row.*")
 
 
-def unseen_ids(rows: DataFrame, stored: DataFrame, on: str = "job_id") -> DataFrame:
+def unseen_ids(
+    rows: DataFrame, stored: DataFrame, on: str = "job_id", ids: DataFrame | None = None
+) -> DataFrame:
     """Rows whose id is not among ``stored``.
 
     The stored table is first narrowed to the ids at hand.  When these are few,
-    AQE broadcasts them and the big table is only scanned (one column), not
-    shuffled; the anti join then meets a side no larger than ``rows``.
+    they are broadcast and the big table is only scanned (one column), not
+    shuffled; the anti join then meets a side no larger than the ids.  A caller
+    that has the ids of ``rows`` at hand, with their size checked, passes them.
     """
-    wanted = rows.select(on).distinct()
-    known = stored.select(on).join(wanted, on, "left_semi")
+    wanted = rows.select(on).distinct() if ids is None else ids
+    known = stored.select(on).join(wanted, on, "left_semi").distinct()
     return rows.join(known, on, "left_anti")
 
 

@@ -12,12 +12,15 @@ from wagegrid.plans.registry import query, table, texts
 
 
 def _decoded(sql: str) -> str:
-    """SQL for the entities that occur in the page table; the ampersand comes last."""
-    for entity, sign in (
-        ("&copy;", "©"), ("&middot;", "·"), ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"),
-        ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&"),
+    """SQL for the entities that occur in the page table; the ampersand comes last.
+
+    These names are also entities without their semicolon, as at the cut end of a title.
+    """
+    for name, sign in (
+        ("copy", "©"), ("middot", "·"), ("nbsp", " "), ("lt", "<"), ("gt", ">"),
+        ("quot", '"'), ("amp", "&"),
     ):
-        sql = f"replace({sql}, '{entity}', '{sign}')"
+        sql = f"regexp_replace({sql}, '&{name};?', '{sign}', 'g')"
     return sql
 
 

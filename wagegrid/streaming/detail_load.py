@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from wagegrid import schemas
+from wagegrid import schemas, settings
 from wagegrid.operators import cleaning, joins, pages
 from wagegrid.sources import writers
 
@@ -73,9 +73,14 @@ def load_batch(
             rejects_path
         )
         known_id = parsed.where(F.col("job_id").isNotNull())
+        # Ids of a batch are few next to the tables: both tables are narrowed by
+        # a broadcast of the ids and not shuffled.
+        ids = settings.small_side(known_id.select("job_id").distinct())
         latest = joins.latest_per_id(known_id, ["page_id"]).drop("page_id")
-        fresh = joins.unseen_ids(latest, stored(spark, details_path, schemas.JOB_DETAILS))
-        writers.append_details(detail_rows(fresh, search, stamp), details_path)
+        details = stored(spark, details_path, schemas.JOB_DETAILS)
+        fresh = joins.unseen_ids(latest, details, ids=ids)
+        searched = search.join(ids, "job_id", "left_semi")
+        writers.append_details(detail_rows(fresh, searched, stamp), details_path)
     finally:
         parsed.unpersist()
 
