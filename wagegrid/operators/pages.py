@@ -48,10 +48,11 @@ def card_fields(cards: DataFrame, keep: tuple[str, ...] = ("page_id", "card_no")
 
 def search_rows(
     pages: DataFrame, stamp: Column, html: str = "html",
-    keep: tuple[str, ...] = ("search_title", "search_location"),
+    keep: tuple[str, ...] = ("search_title", "search_location"), **places,
 ) -> DataFrame:
     """Pages of a search to the rows that are stored for it."""
-    cards = card_fields(explode_cards(pages, html, keep=keep), keep=(*keep, "card_no"))
+    exploded = explode_cards(pages, html, keep=keep, **places)
+    cards = card_fields(exploded, keep=(*keep, "card_no"))
     return cards.select(
         F.date_trunc("minute", stamp).alias("search_datetime"),
         *keep, "title", "location", "company", "job_id",

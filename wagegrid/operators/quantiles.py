@@ -15,34 +15,38 @@ _MAX_ROUNDS = 20
 
 
 def _narrowed(values: DataFrame, n: int, q: float, direct_rows: int) -> DataFrame:
-    """Two or three scans shrink the band around the wanted rank.
+    """A few scans shrink the band around the wanted rank.
 
     Approximate quantiles on both sides of the rank bracket it; exact counts
-    confirm the bracket.  What is left are few distinct values with counts,
-    and those hold the answer.
+    confirm the bracket.  Each round keeps some thousandths of the band, or a
+    single hot value.  What is left are few distinct values with counts, and
+    those hold the answer.
     """
     rank = (n - 1) * q
     first, last = math.floor(rank), math.ceil(rank)
-    band, below, inside, spread = values, 0, n, _SPREAD
+    band, below, inside, distinct, spread = values, 0, n, n, _SPREAD
     for _ in range(_MAX_ROUNDS):
-        counted = band.groupBy("v").agg(F.count("*").alias("c"))
-        if inside <= direct_rows or counted.limit(direct_rows + 1).count() <= direct_rows:
+        if distinct <= direct_rows:
             break
         at = (rank - below) / max(inside - 1, 1)
         low, high = band.approxQuantile(
             "v", [max(0.0, at - spread), min(1.0, at + spread)], spread / 4
         )
-        side = values.where(F.col("v") <= high).agg(
-            F.count_if(F.col("v") < low).alias("below"), F.count("*").alias("upto")
+        in_band = F.col("v").between(low, high)
+        seen = values.agg(
+            F.count_if(F.col("v") < low).alias("below"),
+            F.count_if(in_band).alias("inside"),
+            F.approx_count_distinct(F.when(in_band, F.col("v"))).alias("distinct"),
         ).first()
-        if not (side.below <= first and last < side.upto):
+        if not (seen.below <= first and last < seen.below + seen.inside):
             spread = min(0.5, spread * 4)
-        elif side.upto - side.below < inside:
-            below, inside = side.below, side.upto - side.below
-            band = values.where(F.col("v").between(low, high))
+        elif seen.inside < inside:
+            below, inside, distinct = seen.below, seen.inside, seen.distinct
+            band = values.where(in_band)
         else:
             spread = spread / 4
-    # At most ``direct_rows`` distinct values here, so one task may add up their counts.
+    counted = band.groupBy("v").agg(F.count("*").alias("c"))
+    # About ``direct_rows`` distinct values at most, so one task may add up their counts.
     upto = F.sum("c").over(
         Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )

@@ -103,6 +103,31 @@ def card_fields(spark, folder):
     return _page_cards(spark, folder)
 
 
+@query(
+    "search_rows",
+    f"""
+SELECT page_id, '2024-01-01 10:11:00' AS searched, {_inner('(?s)<h1>(.*?)</h1>')} AS title,
+       nullif(replace({_decoded(_untagged("regexp_extract(html, '(?s)<div class=.ad.>(.*?)</div>', 1)"))},
+                      chr(10), ''), '') AS location,
+       {_inner('(?s)<title>(.*?)</title>')} AS company, {_decoded(_ID)} AS job_id
+FROM pages""",
+)
+def search_rows(spark, folder):
+    rows = pages.search_rows(
+        texts(spark, folder, "pages", "page_id", "html"),
+        F.lit("2024-01-01 10:11:12").cast("timestamp"), keep=("page_id",),
+        cards=[("html", None, None)], fields=_PAGE_AS_CARD,
+    )
+    stamp = F.date_format("search_datetime", "yyyy-MM-dd HH:mm:ss")
+    return rows.withColumn("searched", stamp).drop("search_datetime")
+
+
+@query("rejects", "SELECT page_id FROM pages WHERE NOT contains(html, 'indeed-share-url')")
+def rejects(spark, folder):
+    details = pages.detail_fields(texts(spark, folder, "pages", "page_id", "html"))
+    return pages.rejects(details).select("page_id")
+
+
 @query("card_salary", f"SELECT page_id, {_SALARY} AS salary FROM pages")
 def card_salary(spark, folder):
     raw = pages.explode_cards(

@@ -56,6 +56,7 @@ def spread(df: DataFrame) -> DataFrame:
 
     A short file gives fewer tasks than there are cores.  An input with as many
     tasks as cores, such as any big table, is left as it is and not shuffled.
+    For plain reads only: asking a frame with joins for its tasks would run them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
