@@ -55,7 +55,7 @@ def read_listings_csv(
     spark: SparkSession, path: str, schema: T.StructType = schemas.LISTINGS_RAW,
     multi_line: bool = True,
 ) -> DataFrame:
-    """CSV with a header row and a known schema.
+    """CSV with a header row and a known schema; an empty cell is a missing value.
 
     ``multi_line`` allows line breaks inside quotes, at the price of one task
     per file; turn it off for files known to hold one row per line.

@@ -14,7 +14,10 @@ ROWS_PER_FILE = 1_000_000
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """UTF-8 CSV with a header row; quotes are doubled, line breaks kept."""
+    """UTF-8 CSV with a header row; quotes are doubled, line breaks kept.
+
+    Missing and empty texts are both read back as missing.
+    """
     (
         df.write.mode(mode)
         .option("header", True)
