@@ -59,6 +59,7 @@ def test_weights_agree_with_ml(spark):
     assert found.keys() == want.keys()
     assert all(math.isclose(found[k], want[k]) for k in want)
     assert {r.n for r in terms.term_counts(df, "id", binary=True).collect()} == {1}
-    assert [(r.term, r.n, r.n_rows) for r in terms.top_terms(df, n=2).collect()] == [
+    assert [(r.term, r.n, r.n_rows) for r in terms.top_terms(df, n=2, rows_too=True).collect()] == [
         ("d", 5, 1), ("a", 3, 2),
     ]
+    assert terms.top_terms(df, n=2, min_rows=2).columns == ["term", "n"]

@@ -31,13 +31,18 @@ def term_totals(df: DataFrame, words: str = "words", rows_too: bool = True) -> D
 
 
 def top_terms(
-    df: DataFrame, words: str = "words", n: int = fixed_values.TITLE_TERMS, min_rows: int = 1
+    df: DataFrame, words: str = "words", n: int = fixed_values.TITLE_TERMS, min_rows: int = 1,
+    rows_too: bool = False,
 ) -> DataFrame:
-    """The ``n`` most frequent terms used by at least ``min_rows`` rows; ties by term."""
-    totals = term_totals(df, words, rows_too=min_rows > 1)
+    """The ``n`` most frequent terms used by at least ``min_rows`` rows; ties by term.
+
+    ``term`` and ``n``, with ``rows_too`` also ``n_rows``.
+    """
+    totals = term_totals(df, words, rows_too=rows_too or min_rows > 1)
     if min_rows > 1:
         totals = totals.where(F.col("n_rows") >= min_rows)
-    return totals.orderBy(F.desc("n"), F.asc("term")).limit(n)
+    kept = totals if rows_too else totals.select("term", "n")
+    return kept.orderBy(F.desc("n"), F.asc("term")).limit(n)
 
 
 def _counts_of(
@@ -77,11 +82,8 @@ def tfidf(
 ) -> DataFrame:
     """``n * ln((rows + 1) / (rows with term + 1))`` of the ``size`` top terms per row."""
     rows = df.agg(F.count("*").alias("m")).scalar()
-    totals = term_totals(df, words).where(F.col("n_rows") >= min_rows)
-    weights = (
-        totals.orderBy(F.desc("n"), F.asc("term"))
-        .limit(size)
-        .select("term", F.log((rows + 1) / (F.col("n_rows") + 1)).alias("idf"))
+    weights = top_terms(df, words, size, min_rows, rows_too=True).select(
+        "term", F.log((rows + 1) / (F.col("n_rows") + 1)).alias("idf")
     )
     counted = _counts_of(df, id_column, words, weights, size)
     return counted.select(

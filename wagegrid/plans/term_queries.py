@@ -61,7 +61,7 @@ def bigrams(spark, folder):
 @query("top_terms", TOP_50)
 def top_terms(spark, folder):
     return terms.top_terms(
-        kept_words(spark, folder), "kept", fixed_values.SYNOPSIS_TERMS, min_rows=2
+        kept_words(spark, folder), "kept", fixed_values.SYNOPSIS_TERMS, min_rows=2, rows_too=True
     )
 
 
