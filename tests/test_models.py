@@ -29,7 +29,7 @@ def postings(spark):
 def training(postings):
     model = features.assemble(postings, "synopses")
     folded = positions.stratified_folds(postings.select("id", "label"), "label", "id", 3)
-    made = model.transform(postings).select("id", "features").join(folded, "id").persist()
+    made = model.transform(postings).select("id", "features").join(folded, "id").coalesce(1).persist()
     return made, features.feature_names(model)
 
 
