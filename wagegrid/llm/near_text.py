@@ -8,7 +8,8 @@
 3. Ids that share a band form a bucket.  In a bucket, ids are compared with one leader,
    not with each other; what joins the leader's component is done.  Two such rounds with
    different leaders leave few buckets with ids of several components, and only there
-   pairs across components are compared, block by block inside tasks.
+   pairs across components are compared, block by block inside tasks, which hand on
+   links alone.
 4. A candidate pair is compared ``STEP`` signature values at a time and dropped once
    the posterior probability (uniform prior) that its similarity reaches the threshold
    falls below ``MISS``.  Survivors are checked on their full sets.
@@ -265,9 +266,14 @@ def near_duplicates(
         pairs = now.join(led, "key").where("label <> of").select(F.col("doc_id").alias("u"), "v").distinct()
         links = links.unionByName(checker.links(pairs))
         labels = components(links)
-    rest = _across(_labelled(buckets, labels), some, checker)
-    links = links.unionByName(checker.links(rest, pruned=True))
-    labels = components(links)
+    for spanning in (True, False):
+        now = _labelled(buckets, labels)
+        rest = settings.written(_across(now, some, docs, checker, spanning), "across")
+        found = checker.links(rest, pruned=True)
+        links = links.unionByName(found)
+        labels = components(links)
+        if not spanning or found.count() == rest.count():
+            break
     out = sketches.select("doc_id", "n_shingles").join(
         labels.withColumnRenamed("node", "doc_id"), "doc_id", "left"
     )
@@ -285,47 +291,65 @@ def _labelled(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
     return joined.select("key", "doc_id", F.coalesce("component", "doc_id").alias("label"))
 
 
-def _across(now: DataFrame, sketches: DataFrame, checker: _Checker) -> DataFrame:
-    """Pairs of different components in a bucket that their signatures do not rule out.
+def _across(now: DataFrame, sketches: DataFrame, docs: DataFrame, checker: _Checker, spanning: bool) -> DataFrame:
+    """Pairs of different components in a bucket that link by the low halves of their hashes.
 
     A bucket is dealt by hash into blocks of about ``_BLOCK`` ids; a task compares two
-    blocks.  A pair that shares several bands comes from the first of them.
+    blocks by signature and then by sets of 32-bit hashes, which can only overstate what
+    two sets share, so no link is missed.  With ``spanning`` a task hands on just the pairs that
+    join components not yet joined in its block.  A pair comes from the first band it shares.
     """
     kind = _id_type(sketches)
-    percent, bounds = checker.percent, checker.bounds
+    percent, bounds, size_of_run = checker.percent, checker.bounds, checker.size
     mixed = now.groupBy("key").agg(
         F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")
     ).where("lo < hi").select("key", F.ceil(F.col("n") / _BLOCK).cast("int").alias("blocks"))
-    members = now.join(mixed, "key").withColumn("own", F.pmod(F.hash("doc_id"), "blocks"))
+    members = settings.written(now.join(mixed, "key"), "mixed")
+    ids = settings.small_side(settings.written(members.select("doc_id").distinct(), "mixed-ids"))
+
+    def halves(batch: pa.RecordBatch) -> pa.RecordBatch:
+        held = [s.astype(np.uint32).tobytes() for s in words.each_set(batch.column("text"), size_of_run)]
+        return pa.record_batch({"doc_id": batch.column("doc_id"), "held": pa.array(held, pa.binary())})
+
+    sets = map_batches(docs.join(ids, "doc_id", "left_semi").select("doc_id", "text"), halves, f"doc_id {kind}, held binary")
+    facts = sketches.join(ids, "doc_id", "left_semi").select("doc_id", "n_shingles", "signature").join(sets, "doc_id")
+    facts = settings.written(facts.dropDuplicates(["doc_id"]), "mixed-facts")
+    members = members.withColumn("own", F.pmod(F.hash("doc_id"), "blocks"))
     members = settings.unfolded(members, F.sequence(F.lit(0), F.col("blocks") - 1), "other")
     members = members.select(
         "key", "doc_id", "label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
         (F.col("own") <= F.col("other")).alias("low"), (F.col("own") >= F.col("other")).alias("high"),
-    )
-    members = members.join(sketches.select("doc_id", "n_shingles", "signature"), "doc_id")
+    ).join(facts, "doc_id")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         found = np.frombuffer(b"".join(group["signature"]), np.uint32).reshape(-1, VALUES)
         keys = band_keys(found)
         band = int(np.flatnonzero((keys == group["key"].iloc[0]).all(axis=0))[0])
         label, size = group["label"].to_numpy(), group["n_shingles"].to_numpy()
+        held = [np.sort(np.frombuffer(h, np.uint32)) for h in group["held"]]
         low, high = np.flatnonzero(group["low"]), np.flatnonzero(group["high"])
         same = group["i"].iloc[0] == group["j"].iloc[0]
+        root = np.unique(label, return_inverse=True)[1]  # of each member's component, as far as joined here
         left, right = [], []
         for a in low.tolist():
             others = high[high > a] if same else high
             others = others[label[others] != label[a]]
             n = size[others]
             others = others[100 * np.minimum(n, size[a]) >= percent * np.maximum(n, size[a])]
-            first = (keys[others] == keys[a]).argmax(axis=1)
-            others = others[first == band]
-            if len(others):
-                live = survivors(np.broadcast_to(found[a], (len(others), VALUES)), found[others], bounds)
-                right.append(others[live])
-                left.append(np.full(len(live), a))
+            others = others[(keys[others] == keys[a]).argmax(axis=1) == band]
+            if not len(others):
+                continue
+            live = survivors(np.broadcast_to(found[a], (len(others), VALUES)), found[others], bounds)
+            for b in others[live].tolist():
+                if spanning and root[a] == root[b]:
+                    continue
+                at = np.minimum(np.searchsorted(held[b], held[a]), len(held[b]) - 1)
+                shared = int((held[b][at] == held[a]).sum())
+                if 100 * shared >= percent * (size[a] + size[b] - shared):
+                    left.append(a)
+                    right.append(b)
+                    root[root == root[b]] = root[a]
         ids = group["doc_id"].to_numpy()
-        if not left:
-            return pd.DataFrame({"u": ids[:0], "v": ids[:0]})
-        return pd.DataFrame({"u": ids[np.concatenate(left)], "v": ids[np.concatenate(right)]})
+        return pd.DataFrame({"u": ids[np.array(left, np.int64)], "v": ids[np.array(right, np.int64)]})
 
     return members.groupBy("key", "i", "j").applyInPandas(compare, f"u {kind}, v {kind}")
