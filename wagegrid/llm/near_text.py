@@ -88,14 +88,16 @@ def band_keys(found: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def _digests(held: np.ndarray) -> tuple[int, int]:
+    """128 bits that name a set of hashes."""
+    return tuple(int(words.mix(held, 101 + k).sum(dtype=np.uint64).view(np.int64)) for k in (0, 1))
+
+
 def _sketches(batch: pa.RecordBatch, size: int) -> pa.RecordBatch:
     sets = list(words.each_set(batch.column("text"), size))
     counts = np.array([len(s) for s in sets], np.int64)
-    digests = np.zeros((2, len(sets)), np.uint64)
+    digests = np.array([_digests(s) for s in sets], np.int64).reshape(-1, 2)
     some = np.flatnonzero(counts)
-    for i in some.tolist():
-        for k in (0, 1):
-            digests[k, i] = words.mix(sets[i], 101 + k).sum(dtype=np.uint64)
     found = np.zeros((len(sets), VALUES), np.uint32)
     for part in np.array_split(some, max(1, int(counts.sum()) // 500_000)):
         found[part] = signatures([sets[i] for i in part.tolist()])
@@ -103,8 +105,8 @@ def _sketches(batch: pa.RecordBatch, size: int) -> pa.RecordBatch:
     return pa.record_batch({
         "doc_id": batch.column("doc_id"),
         "n_shingles": pa.array(counts),
-        "d1": pa.array(digests[0].view(np.int64)),
-        "d2": pa.array(digests[1].view(np.int64)),
+        "d1": pa.array(digests[:, 0]),
+        "d2": pa.array(digests[:, 1]),
         "signature": pa.array([row.tobytes() for row in found], pa.binary()),
         "bands": pa.ListArray.from_arrays(
             pa.array(np.arange(0, keys.size + 1, BANDS, dtype=np.int32)), pa.array(keys.ravel())
@@ -308,12 +310,21 @@ def _across(now: DataFrame, sketches: DataFrame, docs: DataFrame, checker: _Chec
     ids = settings.small_side(settings.written(members.select("doc_id").distinct(), "mixed-ids"))
 
     def halves(batch: pa.RecordBatch) -> pa.RecordBatch:
-        held = [s.astype(np.uint32).tobytes() for s in words.each_set(batch.column("text"), size_of_run)]
-        return pa.record_batch({"doc_id": batch.column("doc_id"), "held": pa.array(held, pa.binary())})
-
-    sets = map_batches(docs.join(ids, "doc_id", "left_semi").select("doc_id", "text"), halves, f"doc_id {kind}, held binary")
-    facts = sketches.join(ids, "doc_id", "left_semi").select("doc_id", "n_shingles", "signature").join(sets, "doc_id")
-    facts = settings.written(facts.dropDuplicates(["doc_id"]), "mixed-facts")
+        sets = list(words.each_set(batch.column("text"), size_of_run))
+        digests = np.array([_digests(s) for s in sets], np.int64).reshape(-1, 2)
+        return pa.record_batch({
+            "doc_id": batch.column("doc_id"), "d1": pa.array(digests[:, 0]), "d2": pa.array(digests[:, 1]),
+            "held": pa.array([s.astype(np.uint32).tobytes() for s in sets], pa.binary()),
+        })
+
+    # an id given with several texts has several sets: each goes with its own signature
+    each = ["doc_id", "d1", "d2"]
+    sets = map_batches(
+        docs.join(ids, "doc_id", "left_semi").select("doc_id", "text"), halves,
+        f"doc_id {kind}, d1 long, d2 long, held binary",
+    )
+    facts = sketches.join(ids, "doc_id", "left_semi").select(*each, "n_shingles", "signature").join(sets, each)
+    facts = settings.written(facts.dropDuplicates(each).drop("d1", "d2"), "mixed-facts")
     members = members.withColumn("own", F.pmod(F.hash("doc_id"), "blocks"))
     members = settings.unfolded(members, F.sequence(F.lit(0), F.col("blocks") - 1), "other")
     members = members.select(
@@ -324,7 +335,9 @@ def _across(now: DataFrame, sketches: DataFrame, docs: DataFrame, checker: _Chec
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         found = np.frombuffer(b"".join(group["signature"]), np.uint32).reshape(-1, VALUES)
         keys = band_keys(found)
-        band = int(np.flatnonzero((keys == group["key"].iloc[0]).all(axis=0))[0])
+        here = keys == group["key"].iloc[0]
+        group, found, keys = group[here.any(axis=1)], found[here.any(axis=1)], keys[here.any(axis=1)]
+        band = int(here.any(axis=0).argmax())
         label, size = group["label"].to_numpy(), group["n_shingles"].to_numpy()
         held = [np.sort(np.frombuffer(h, np.uint32)) for h in group["held"]]
         low, high = np.flatnonzero(group["low"]), np.flatnonzero(group["high"])
