@@ -120,13 +120,22 @@ def test_places_searched(spark):
     assert grid.default_places(spark).count() == 72
     paged = grid.paginate(spark.createDataFrame([("X",)], "place string"), "place", 100)
     assert [r.start for r in paged.collect()] == list(range(0, 100, 10))
+    place = spark.createDataFrame([("X",)], "place string")
+    for most in (25, 5, 0):
+        assert [r.start for r in grid.paginate(place, "place", most).collect()] == list(range(0, most, 10))
 
 
-def test_cross_grid_refuses_long_lists(spark):
-    left, right = spark.range(3), spark.range(5).selectExpr("cast(id as string) t")
-    assert grid.cross_grid(left, right, "t").count() == 15
-    with pytest.raises(Exception, match="more than 4 terms"):
-        grid.cross_grid(left, right, "t", max_terms=4).collect()
+def test_cross_grid_keeps_types_and_missing_terms(spark):
+    left, right = spark.range(3), spark.createDataFrame([(1,), (2,), (2,), (None,)], "t int")
+    made = grid.cross_grid(left, right, "t")
+    assert made.schema["t"].dataType.simpleString() == "int"
+    assert sorted((r.id, r.t or 0) for r in made.collect()) == [(i, t) for i in range(3) for t in (0, 1, 2)]
+
+
+def test_money_with_cents(spark):
+    texts = ["$1,250.50 or $3 or $ 20.5", "from $7.25 to $1234.00", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(salary.find_money("t", with_cents=True)).collect()] == [["$1,250.50"], ["$7.25", "$1234.00"], None]
 
 
 def test_new_ids_and_join(spark):

@@ -41,8 +41,14 @@ def test_one_hot(spark):
     model = Pipeline(stages=features.one_hot_stages("c", "v")).fit(df)
     other = spark.createDataFrame([("a",), (None,), ("new",)], "c string")
     assert [list(r.v.toArray()) for r in model.transform(other).collect()] == [[1, 0], [0, 0], [0, 0]]
-    with pytest.raises(ValueError, match="more than 1 values"):
-        features.distinct_values(df, "c", 1)
+    assert features.distinct_values(df, "c") == ["a", "b"]
+
+
+def test_missing_texts_have_no_words(spark):
+    rows = [("Data analyst", "we use data", "A", "X"), (None, None, None, None), ("Data analyst", None, "B", "Y")] * 3
+    df = spark.createDataFrame(rows, ["Title", "Synopsis", "City", "State Initials"])
+    made = features.assemble(df, "synopses").transform(df).collect()
+    assert len(made) == 9 and all(sum(r.features.toArray()) == 0 for r in made if r.Title is None)
 
 
 def test_title_flags(spark):

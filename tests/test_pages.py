@@ -1,21 +1,19 @@
 """Cards and posting pages, with everything that may be missing."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
-from wagegrid.functions import markup
+from wagegrid.functions import markup, page_parser
 from wagegrid.operators import pages
 
-CARD = """
-<div data-tn-component="organicJob" class="unit first" id="c1">
-<h2 class="head"><a id="jl_2480d2" href="/go?n=1" data-tn-element="jobTitle">Forecast &amp; Planning
- Analyst</a></h2>
-<span class="company"><em><a href="/firm">
-    Northwind </a></em></span>
-<table><tr><td><nobr>$61,000 - $72,500 a year</nobr>
-<div><span class="summary">
-Plans demand</span></div></td></tr></div>
-"""
+CARD = (
+    '<section data-tn-component="organicJob"><p>no fields here</p></section>'
+    '<div data-tn-component="organicJob"><nobr>$48,250 a year</nobr>'
+    '<ul><li><span class="summary">Keeps books</span><li><span class="company">Hill &amp; Co</span></ul>'
+    '<a data-tn-element="jobTitle" id="k__77">Book keeper</a><a id="k__88">more</a></div>'
+)
 FULL = """
 <div class="row result last"><a id="sja123" class="jobtitle">Data Scientist</a>
 <span class="company">Acme</span><span class="location">New York,
@@ -40,12 +38,12 @@ def test_cards(captured):
     cards = pages.card_fields(pages.explode_cards(captured)).orderBy("card_no").collect()
     assert [r.page_id for r in cards] == [1, 1]
     first, second = cards
-    assert first.title == "Forecast & Planning\n Analyst"
-    assert first.company == "Northwind"
+    assert first.title == "Book keeper"
+    assert first.company == "Hill & Co"
     assert first.location is None
-    assert first.salary == "$61,000 - $72,500 a year"
-    assert first.synopsis == "Plans demand"
-    assert first.job_id == "2480d2"
+    assert first.salary == "$48,250 a year"
+    assert first.synopsis == "Keeps books"
+    assert first.job_id == "77"
     assert second.title == "Data Scientist"
     assert second.location == "New York, NY 10001"
     assert second.salary == "$80,000 a year"
@@ -126,3 +124,21 @@ def test_native_first_matches(spark):
         markup.first_element("h", "em"), markup.first_attribute("h", "a", "title"),
     ).first()
     assert tuple(row) == ("$5", "/q", None, None)
+
+
+def test_awkward_markup_is_read_in_time(spark):
+    odd = ['<a href="x>t</a>' + "<p>short</p>" * 20_000, "<a" + ' x="y"' * 20_000 + ">t</a>", '<p title="a>b">c</p>']
+    df = spark.createDataFrame(list(enumerate(odd)), "page_id int, html string")
+    texts = [r[0] for r in df.orderBy("page_id").select(markup.strip_tags("html")).collect()]
+    assert texts == ["t" + "short" * 20_000, "t", "c"]
+    assert df.select(markup.list_items("html", "p").alias("v")).where("page_id = 0").first().v[0] == "short"
+
+
+@pytest.mark.parametrize("page", ["<b>" * 20_000 + "</i>" * 20_000, '<div class="result"><a id="abc1">x</a>' * 5_000])
+def test_unclosed_elements_are_read_in_time(page):
+    walk = page_parser._Walk([("div", "class", "result")], {"link": ("a", None, None, "text"), "none": ("h6", None, None, "text")})
+    began = time.perf_counter()
+    walk.feed(page)
+    found = walk.finish()
+    assert time.perf_counter() - began < 10
+    assert [r["link"] for r in found] == ["x"] * page.count("result")

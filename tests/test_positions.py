@@ -27,6 +27,18 @@ def test_row_numbers_by_stamp_within(spark):
     assert len(found) == 500
 
 
+@pytest.mark.parametrize("rows_per_slice", [30, 10_000])
+def test_row_numbers_by_text_within_odd_groups(spark, rows_per_slice):
+    groups = [None, "\0", "", "g"]
+    rows = [(f"k{i * 7919 % 1000:04d}\0", groups[i % 4]) for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, g string").repartition(3)
+    found = positions.row_numbers(df, "k", within=("g",), rows_per_slice=rows_per_slice).collect()
+    want = {(k, g): sorted(x for x, h in rows if h == g).index(k) for k, g in rows}
+    assert len(found) == 200 and {(r.k, r.g): r.position for r in found} == want
+    between = positions.rows_between(df, "k", 50, 60, rows_per_slice=rows_per_slice).collect()
+    assert sorted((r.position, r.k) for r in between) == list(enumerate(sorted(k for k, _ in rows)))[50:60]
+
+
 @pytest.mark.parametrize("rows_per_slice", [40, 10_000])
 @pytest.mark.parametrize("k", [5, 6, 700])
 def test_folds(spark, rows_per_slice, k):
@@ -72,6 +84,13 @@ def test_quantile_narrows(spark):
         assert found == pytest.approx(float(np.quantile(draw, q)), rel=1e-12)
 
 
+@pytest.mark.parametrize("values", [[float("inf"), 1.0, float("inf")], [float("-inf"), 1.0], [1.0, float("inf"), 2.0, 3.0]])
+def test_infinite_values_on_both_sides_of_the_bound(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    small, narrowed = (quantiles.median_value(df, "x", direct_rows=n).first()[0] for n in (1, 100))
+    assert small == narrowed == statistics.median(values)
+
+
 def test_empty_median(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert quantiles.median_value(df, "x").first()[0] is None

@@ -6,6 +6,7 @@ from collections import Counter
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.ml.feature import IDF, CountVectorizer, StopWordsRemover
+from pyspark.sql import functions as F
 
 from wagegrid import fixed_values
 from wagegrid.functions import words
@@ -63,3 +64,11 @@ def test_weights_agree_with_ml(spark):
         ("d", 5, 1), ("a", 3, 2),
     ]
     assert terms.top_terms(df, n=2, min_rows=2).columns == ["term", "n"]
+
+
+def test_missing_texts_and_words(spark):
+    df = spark.createDataFrame([(None,), ("The Cat  sat",), ("",)], "text string")
+    cut = words.tokenize(df)
+    assert [r.words for r in cut.collect()] == [None, ["the", "cat", "", "sat"], [""]]
+    kept = words.remove_stop_words(cut.withColumn("words", F.array_append("words", F.lit(None).cast("string"))))
+    assert [r.kept for r in kept.collect()] == [None, ["cat", "", "sat"], [""]]

@@ -13,7 +13,8 @@ from wagegrid import fixed_values
 
 COMMENT = r"(?s)<!--.*?-->"
 UNSEEN = r"(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
-TAG = r"""(?s)</?[a-zA-Z!?][^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*>"""
+# Possessive, so that matching never recurses; a tag whose quotes do not pair ends at its first ">".
+TAG = r"""(?s)</?[a-zA-Z!?](?:[^>"']++|"[^"]*+"|'[^']*+')*+>|</?[a-zA-Z!?][^>]*+>"""
 
 #: End tags that also end an item of the given kind when its own end tag is missing.
 ITEM_ENDS = {

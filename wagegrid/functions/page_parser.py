@@ -8,6 +8,7 @@ library's tokenizer and keeps the first match of every wanted field.
 from __future__ import annotations
 
 import html as html_entities
+from collections import Counter
 from collections.abc import Iterable
 from html.parser import HTMLParser
 
@@ -45,8 +46,10 @@ class _Walk(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.cards, self.fields = cards, fields
         self.records: list[dict] = []
+        self.open: Counter[str] = Counter()  # open elements by tag
+        # open records that still lack a field, so that a record costs nothing once it has it
+        self.lacking: dict[str, dict[int, dict]] = {name: {} for name in fields}
         self.path: list[tuple[str, list]] = []  # open elements and what ends with them
-        self.inside: list[dict] = []  # records of the cards that are open
         self.taking: list[tuple[dict, str, str, list]] = []  # fields being read
         self.unseen = 0
         if cards is None:
@@ -55,7 +58,8 @@ class _Walk(HTMLParser):
     def _open_record(self, ends: list | None) -> None:
         record: dict = {}
         self.records.append(record)
-        self.inside.append(record)
+        for lacking in self.lacking.values():
+            lacking[id(record)] = record
         if ends is not None:
             ends.append(record)
 
@@ -65,11 +69,11 @@ class _Walk(HTMLParser):
         for reading in self.taking:
             if reading[2] == "html":
                 reading[3].append(raw)
-        for record in self.inside:
-            for name, field in self.fields.items():
-                if name in record or not _is(tag, attrs, field):
-                    continue
-                take = field[3]
+        for name, field in self.fields.items():
+            if not self.lacking[name] or not _is(tag, attrs, field):
+                continue
+            take = field[3]
+            for record in self.lacking[name].values():
                 if take in ("text", "html"):
                     record[name] = None
                     reading = (record, name, take, [raw] if take == "html" else [])
@@ -77,9 +81,11 @@ class _Walk(HTMLParser):
                     ends.append(reading)
                 else:
                     record[name] = attrs.get(take)
+            self.lacking[name].clear()
         if self.cards is not None and any(_is(tag, attrs, card) for card in self.cards):
             self._open_record(ends)
         self.path.append((tag, ends))
+        self.open[tag] += 1
         if tag in ("script", "style"):
             self.unseen += 1
         if closes_at_once:
@@ -87,6 +93,7 @@ class _Walk(HTMLParser):
 
     def _close(self, write_end: bool = True) -> None:
         tag, ends = self.path.pop()
+        self.open[tag] -= 1
         if tag in ("script", "style"):
             self.unseen -= 1
         if write_end:
@@ -95,7 +102,8 @@ class _Walk(HTMLParser):
                     reading[3].append(f"</{tag}>")
         for end in ends:
             if isinstance(end, dict):
-                self.inside = [r for r in self.inside if r is not end]
+                for lacking in self.lacking.values():
+                    lacking.pop(id(end), None)
             else:
                 end[0][end[1]] = "".join(end[3])
                 self.taking = [r for r in self.taking if r is not end]
@@ -107,7 +115,7 @@ class _Walk(HTMLParser):
         self._start(tag, attrs, True)
 
     def handle_endtag(self, tag):
-        if any(open_tag == tag for open_tag, _ in self.path):
+        if self.open[tag]:
             while self.path[-1][0] != tag:
                 self._close()
             self._close()

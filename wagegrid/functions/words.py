@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import NGram, StopWordsRemover, Tokenizer
+from pyspark.ml.feature import NGram, Tokenizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,8 +13,10 @@ WORD = r"(?U)\b\w\w+\b"
 
 
 def tokenize(df: DataFrame, text: str = "text", out: str = "words") -> DataFrame:
-    """Lower-case, cut at white space; punctuation stays on the words."""
-    return Tokenizer(inputCol=text, outputCol=out).transform(df)
+    """Lower-case, cut at white space; punctuation stays on the words.  Null stays null."""
+    held = df.withColumn("_given", F.coalesce(text, F.lit("")))
+    cut = Tokenizer(inputCol="_given", outputCol="_cut").transform(held)
+    return cut.withColumn(out, F.when(F.col(text).isNotNull(), F.col("_cut"))).drop("_given", "_cut")
 
 
 def words_of(text: str | Column) -> Column:
@@ -30,12 +32,12 @@ def remove_stop_words(
     df: DataFrame, words: str = "words", out: str = "kept",
     stop_words: list[str] | None = None,
 ) -> DataFrame:
-    """Without stop words (case is ignored); the default list is Spark's English one."""
-    remover = StopWordsRemover(
-        inputCol=words, outputCol=out, locale="en_US",
-        stopWords=stop_words or fixed_values.ENGLISH_STOP_WORDS,
-    )
-    return remover.transform(df)
+    """Without stop words (case is ignored); the default list is Spark's English one.
+
+    A null list stays null; null words go.
+    """
+    listed = sorted({w.lower() for w in stop_words or fixed_values.ENGLISH_STOP_WORDS})
+    return df.withColumn(out, F.filter(words, lambda w: ~F.lower(w).isin(listed)))
 
 
 def bigrams(df: DataFrame, words: str = "kept", out: str = "pairs") -> DataFrame:

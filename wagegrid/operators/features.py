@@ -8,6 +8,7 @@ from pyspark.ml.feature import (
     NGram,
     OneHotEncoder,
     RegexTokenizer,
+    SQLTransformer,
     StopWordsRemover,
     StringIndexer,
     StringIndexerModel,
@@ -23,9 +24,6 @@ from wagegrid.operators.quantiles import quantile_value
 from wagegrid.operators.stages import TitleFlags
 from wagegrid.operators.terms import top_terms
 
-#: Most values spread over columns of their own; more go into a vector.
-MAX_VALUE_COLUMNS = 2_000
-
 
 def above_median(
     df: DataFrame, column: str = "Average", *, q: float = 0.5, name: str = "Above Median"
@@ -38,20 +36,18 @@ def above_median(
     return df.withColumn(name, F.when(F.col(column) > middle, 1).otherwise(0))
 
 
-def distinct_values(df: DataFrame, column: str, most: int = MAX_VALUE_COLUMNS) -> list[str]:
-    """Sorted values of a column with few of them; refuses more than ``most``."""
-    found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(most + 1)
-    values = [row[0] for row in found.collect()]
-    if len(values) > most:
-        raise ValueError(f"{column} has more than {most} values; use one_hot_vector")
-    return sorted(values)
+def distinct_values(df: DataFrame, column: str) -> list[str]:
+    """Sorted values of a column, as names of columns to make: one text per column."""
+    found = df.select(column).where(F.col(column).isNotNull()).distinct()
+    return sorted(row[0] for row in found.collect())
 
 
 def one_hot(df: DataFrame, column: str, values: list | None = None) -> DataFrame:
     """One 0/1 column per value in sorted order, none left out; missing is 0 in all.
 
     The list of values is a parameter of the result (as in a pivot); each row
-    is then widened where it is, without a shuffle.
+    is then widened where it is, without a shuffle.  For a column with very many values
+    ``one_hot_stages`` makes one sparse vector instead.
     """
     listed = distinct_values(df, column) if values is None else values
     flags = [
@@ -93,9 +89,11 @@ def _term_stages(df: DataFrame, column: str, out: str, size: int, pairs: bool, b
     so that a repeated run gets the same columns; only ``size`` terms come to
     the driver.  Columns are in alphabetical order.
     """
-    tokens, kept = f"{out}_words", f"{out}_kept"
+    given, tokens, kept = f"{out}_given", f"{out}_words", f"{out}_kept"
     stages = [
-        RegexTokenizer(inputCol=column, outputCol=tokens, pattern=WORD, gaps=False),
+        # a missing text has no words
+        SQLTransformer(statement=f"SELECT *, coalesce(`{column}`, '') AS `{given}` FROM __THIS__"),
+        RegexTokenizer(inputCol=given, outputCol=tokens, pattern=WORD, gaps=False),
         StopWordsRemover(inputCol=tokens, outputCol=kept, locale="en_US",
                          stopWords=fixed_values.ENGLISH_STOP_WORDS),
     ]
@@ -163,6 +161,8 @@ def feature_names(model: PipelineModel) -> list[str]:
     names: dict[str, list[str]] = {}
     indexed: dict[str, list[str]] = {}
     for stage in model.stages:
+        if isinstance(stage, SQLTransformer):
+            continue
         if isinstance(stage, StringIndexerModel):
             indexed[stage.getOutputCol()] = stage.labels
         elif isinstance(stage, CountVectorizerModel):

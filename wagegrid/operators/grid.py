@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from wagegrid import fixed_values, schemas, settings
 
-#: A request names at most this many titles or places.
-MAX_TERMS = 10_000
-
 
 def _terms(text: str | Column) -> Column:
     """Comma-separated terms without quotes and blanks."""
@@ -51,22 +48,13 @@ def search_grid(requests: DataFrame) -> DataFrame:
     )
 
 
-def cross_grid(
-    rows: DataFrame, terms: DataFrame, column: str, max_terms: int = MAX_TERMS
-) -> DataFrame:
-    """Every row with every distinct term of a short list.
+def cross_grid(rows: DataFrame, terms: DataFrame, column: str) -> DataFrame:
+    """Every row with every distinct term, a missing one included.
 
-    The list becomes one array value (a scalar subquery), checked against
-    ``max_terms``, and each row is unfolded where it is.
+    This product is the operator's meaning; Spark sends round a side that is small
+    by its own limit.  A column of the same name in ``rows`` is replaced.
     """
-    distinct = terms.select(column).distinct().limit(max_terms + 1)
-    listed = distinct.agg(F.array_sort(F.collect_set(column)).alias("v"))
-    checked = listed.select(
-        F.when(F.size("v") <= max_terms, F.col("v")).otherwise(
-            F.raise_error(F.lit(f"more than {max_terms} terms in {column}")).cast("array<string>")
-        )
-    )
-    return rows.withColumn(column, F.explode(checked.scalar()))
+    return rows.drop(column).crossJoin(terms.select(column).distinct())
 
 
 def paginate(
@@ -74,7 +62,9 @@ def paginate(
     step: int = fixed_values.PAGE_STEP,
 ) -> DataFrame:
     """Result offsets 0, 10, .. below ``max_results`` for each row, with the address."""
-    offsets = F.sequence(F.lit(0), F.lit(max_results - step), F.lit(step))
+    if max_results <= 0:
+        df, max_results = df.limit(0), 1
+    offsets = F.sequence(F.lit(0), F.lit(max_results - 1), F.lit(step))
     return df.withColumn("start", F.explode(offsets)).withColumn(
         "url", F.format_string(fixed_values.LISTING_URL, place, F.col("start").cast("string"))
     )

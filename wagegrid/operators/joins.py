@@ -45,13 +45,13 @@ def unseen_ids(
 ) -> DataFrame:
     """Rows whose id is not among ``stored``.
 
-    The stored table is first narrowed to the ids at hand.  When these are few,
-    they are broadcast and the big table is only scanned (one column), not
-    shuffled; the anti join then meets a side no larger than the ids.  A caller
-    that has the ids of ``rows`` at hand, with their size checked, passes them.
+    One anti join with one column of the stored table.  A caller that has the ids of
+    ``rows`` at hand, with their size checked, passes them: the stored table is then
+    narrowed to these where it is read and not shuffled.
     """
-    wanted = rows.select(on).distinct() if ids is None else ids
-    known = stored.select(on).join(wanted, on, "left_semi").distinct()
+    known = stored.select(on)
+    if ids is not None:
+        known = known.join(ids, on, "left_semi").distinct()
     return rows.join(known, on, "left_anti")
 
 
@@ -60,7 +60,7 @@ def new_job_ids(
     stamp: str = "search_datetime", ties: tuple[str, ...] = (),
 ) -> DataFrame:
     """Postings searched but without details yet, by their latest search row."""
-    return unseen_ids(latest_per_id(search, [stamp, *ties], on), details, on)
+    return latest_per_id(unseen_ids(search, details, on), [stamp, *ties], on)
 
 
 def align_columns(blocks: list[DataFrame], on: str) -> DataFrame:

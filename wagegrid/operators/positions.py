@@ -1,50 +1,25 @@
 """Row positions and folds without a single-task window.
 
-``row_number`` over a whole table sorts it in one task.  Here the order key is
-cut into slices of bounded size; rows are numbered inside their slice and the
-number of rows before the slice is added.  Slice limits come from a sample, as
-in Spark's own range partitioning, and only steer the balance: positions are
-exact for any limits.
+``row_number`` over a whole table sorts it in one task.  Here Spark's range
+partitioning deals the rows into slices by the order key; the dealt rows are written
+down, numbered inside their slice, and the number of rows before the slice is added.  Any
+key that can be sorted will do, and positions are the same for any number of slices.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows numbered by one task; above this the key is cut into slices.
+from wagegrid import settings
+
+#: Rows numbered by one task; a table with more is dealt into slices.
 ROWS_PER_SLICE = 2_000_000
-#: Most slices, which bounds the sample on the driver and the table of offsets.
-MAX_SLICES = 20_000
 #: Most group counts taken to the driver; more stay a distributed table.
 MAX_GROUPS = 100_000
-_SAMPLE_PER_SLICE = 40
-
-
-def _key_as_double(df: DataFrame, key: str) -> Column:
-    kind = df.schema[key].dataType.typeName()
-    column = F.col(key)
-    if kind in ("timestamp", "timestamp_ntz", "date"):
-        column = column.cast("timestamp")
-    # Casting keeps the order (equal doubles share a slice and are told apart there).
-    return F.coalesce(F.nanvl(column.cast("double"), F.lit(float("inf"))), F.lit(float("-inf")))
-
-
-def _limits(df: DataFrame, key: str, rows_per_slice: int) -> list[float]:
-    """Slice limits for ``key``: none while the table fits one slice."""
-    n = df.count()
-    slices = min(MAX_SLICES, math.ceil(n / rows_per_slice))
-    if slices <= 1:
-        return []
-    share = min(1.0, slices * _SAMPLE_PER_SLICE / n)
-    sampled = df.select(_key_as_double(df, key).alias("k")).sample(share, seed=7)
-    # At most about MAX_SLICES * _SAMPLE_PER_SLICE numbers (7 MB).
-    values = sorted(v for v in sampled.toPandas()["k"] if math.isfinite(v))
-    picked = [values[len(values) * i // slices] for i in range(1, slices)] if values else []
-    return sorted(set(picked))
 
 
 def _counts(df: DataFrame, *by: str) -> DataFrame:
@@ -58,43 +33,61 @@ def _counts(df: DataFrame, *by: str) -> DataFrame:
     return df.sparkSession.createDataFrame(found, counted.schema)
 
 
+def _same(left: list[str], right: list[str]) -> Column:
+    """Null-safe equality of columns, pair by pair."""
+    pairs = zip(left, right, strict=True)
+    return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in pairs])
+
+
+def _sliced(df: DataFrame, key: str, within: tuple[str, ...], slices: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with the number of their slice, and per slice its rows and the rows before it."""
+    dealt = df.repartitionByRange(slices, key).withColumn("_slice", F.spark_partition_id())
+    # written once: a slice must not change between the count and the numbering
+    dealt = settings.written(dealt, "slices")
+    tags = [f"_g{i}" for i in range(len(within))]
+    counts = _counts(dealt, *within, "_slice").toDF(*tags, "_of", "_n")
+    before = Window.partitionBy(*tags).orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    return dealt, counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+
+
+def _numbered(dealt: DataFrame, offsets: DataFrame, key: str, within: tuple[str, ...], name: str) -> DataFrame:
+    tags = [f"_g{i}" for i in range(len(within))]
+    inside = Window.partitionBy(*within, "_slice").orderBy(key)
+    joined = dealt.join(offsets, _same([*within, "_slice"], [*tags, "_of"]))
+    numbered = joined.withColumn(name, F.col("_before") + F.row_number().over(inside) - 1)
+    return numbered.drop(*tags, "_of", "_n", "_before", "_slice")
+
+
 def row_numbers(
     df: DataFrame, key: str, *, within: tuple[str, ...] = (), name: str = "position",
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
-    """0-based position of each row in the order of ``key`` (numeric, date or
-    timestamp; unique), over the table or within each value of ``within``.
+    """0-based position of each row in the order of ``key`` (unique; of any type that
+    can be sorted, nulls first), over the table or within each value of ``within``.
     """
-    limits = _limits(df, key, rows_per_slice)
-    if not limits:
+    slices = math.ceil(df.count() / rows_per_slice)
+    if slices <= 1:
         window = Window.partitionBy(*within).orderBy(key)
         return df.withColumn(name, F.row_number().over(window).cast("long") - 1)
+    dealt, offsets = _sliced(df, key, within, slices)
+    return _numbered(dealt, offsets, key, within, name)
 
-    cut = Bucketizer(
-        splits=[float("-inf"), *limits, float("inf")], inputCol="_key", outputCol="_slice"
-    )
-    sliced = cut.transform(df.withColumn("_key", _key_as_double(df, key))).drop("_key")
-    tags = [f"_g{i}" for i in range(len(within))]
-    for tag, column in zip(tags, within):
-        sliced = sliced.withColumn(tag, F.coalesce(F.col(column).cast("string"), F.lit("\0")))
-    before = Window.partitionBy(*tags).orderBy("_slice").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = (
-        _counts(sliced, *tags, "_slice")
-        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .drop("_n")
-    )
-    inside = Window.partitionBy(*tags, "_slice").orderBy(key)
-    numbered = sliced.join(offsets, [*tags, "_slice"]).withColumn(
-        name, F.col("_before") + F.row_number().over(inside) - 1
-    )
-    return numbered.drop(*tags, "_slice", "_before")
 
+def rows_between(
+    df: DataFrame, key: str, first: int, last: int, *, rows_per_slice: int = ROWS_PER_SLICE
+) -> DataFrame:
+    """Rows at positions ``first`` to ``last - 1`` in the order of ``key``.
 
-def rows_between(df: DataFrame, key: str, first: int, last: int, **options) -> DataFrame:
-    """Rows at positions ``first`` to ``last - 1`` in the order of ``key``."""
-    numbered = row_numbers(df, key, **options)
+    Only slices that hold such positions are numbered.
+    """
+    slices = math.ceil(df.count() / rows_per_slice)
+    if slices <= 1:
+        top = df.orderBy(key).limit(max(last, 0))
+        numbered = top.withColumn("position", F.row_number().over(Window.orderBy(key)).cast("long") - 1)
+    else:
+        dealt, offsets = _sliced(df, key, (), slices)
+        held = offsets.where((F.col("_before") < last) & (F.col("_before") + F.col("_n") > first))
+        numbered = _numbered(dealt, held, key, (), "position")
     return numbered.where(F.col("position").between(first, last - 1))
 
 

@@ -53,7 +53,10 @@ def _narrowed(values: DataFrame, n: int, q: float, direct_rows: int) -> DataFram
     ranked = counted.withColumn("upto", upto + F.lit(below))
     at_first = F.min(F.when(F.col("upto") > first, F.col("v")))
     at_last = F.min(F.when(F.col("upto") > last, F.col("v")))
-    return ranked.agg((at_first + (at_last - at_first) * (rank - first)).alias("q"))
+    # equal neighbours first: a share of an infinite value would be no number
+    share = rank - first
+    between = at_first * (1 - share) + at_last * share
+    return ranked.agg(F.when(at_first == at_last, at_first).otherwise(between).alias("q"))
 
 
 def quantile_value(

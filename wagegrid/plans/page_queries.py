@@ -224,7 +224,7 @@ def url_parts(spark, folder):
     rf"""
 SELECT job_id,
        array_to_string(regexp_extract_all("Salary", '\$\s*([0-9][0-9,]*(?:\.[0-9]+)?)', 1), '|') AS amounts,
-       array_to_string(regexp_extract_all("Salary", '\$[+-]?[0-9]{{1,3}}(?:,?[0-9]{{3}})*\.[0-9]{{2}}'), '|')
+       array_to_string(regexp_extract_all("Salary", '\$\s*[0-9][0-9,]*\.[0-9]{{2}}\b'), '|')
          AS with_cents
 FROM {standins.LISTINGS}""",
 )

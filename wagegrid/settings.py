@@ -81,5 +81,5 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
 
     Above the bound the frame is returned as it is and AQE picks the join.
     """
-    seen = df.limit(max_rows + 1).count()
+    seen = df.count()
     return F.broadcast(df) if seen <= max_rows else df

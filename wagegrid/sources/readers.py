@@ -53,7 +53,7 @@ def read_date_range(df: DataFrame, column: str, first: str, last: str) -> DataFr
 
 def read_listings_csv(
     spark: SparkSession, path: str, schema: T.StructType = schemas.LISTINGS_RAW,
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV with a header row and a known schema; an empty cell is a missing value.
 
