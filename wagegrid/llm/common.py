@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from wagegrid import settings
+
 
 def held_out(key: Column, modulus: int, rest: int) -> Column:
     """True where crc32 of the key as text leaves ``rest``; false for a null key."""
@@ -45,3 +47,17 @@ def with_columns(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
     """The batch with columns replaced, or added behind the others."""
     held = dict(zip(batch.schema.names, batch.columns, strict=True)) | columns
     return pa.RecordBatch.from_arrays(list(held.values()), names=list(held))
+
+
+def looked_up(df: DataFrame, facts: DataFrame, key: str, spread: Column, max_rows: int = 100_000, copies: int = 16) -> DataFrame:
+    """``df`` with the columns of ``facts``, which has one row for every value of ``key``.
+
+    Up to ``max_rows`` facts (counted first) are sent to all tasks.  More of them are copied
+    ``copies`` times, and the rows of a key are dealt over the copies by ``spread``, so that
+    a key that holds much of ``df`` is no single task.
+    """
+    small = settings.small_side(facts, max_rows)
+    if small is not facts:
+        return df.join(small, key)
+    dealt = facts.withColumn("#copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    return df.withColumn("#copy", F.pmod(F.xxhash64(spread), F.lit(copies)).cast("int")).join(dealt, [key, "#copy"]).drop("#copy")
