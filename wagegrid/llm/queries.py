@@ -20,6 +20,7 @@ from wagegrid.llm import (
     mixing,
     near_text,
     near_vectors,
+    periodic,
     quality,
 )
 from wagegrid.llm.common import held_out
@@ -107,6 +108,13 @@ def op10_splitting_tree(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken(*mixing.mix(_table(spark, folder, "documents", "doc_id", "text", "source")))
 
 
+@_query
+def op12_recompressed_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents", "doc_id", "text")
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return periodic.run_digests(docs, repeat=F.when(crc % 10 == 0, F.floor(crc / 10)))
+
+
 @_query
 def op13_pointer_manifest(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents", "doc_id", "source", "lang", "n_chars", "text")
