@@ -101,13 +101,13 @@ def test_query_against_plain_search(spark, sf):
 
 def test_nulls_empty_and_odd_blanks(spark):
     beat = "tick tock " * 8
-    rows = [(1, None, 7), (2, "", 7), (3, " \t\n", 7), (4, beat, 7), (4, beat, 7), (None, "a b " * 12, 7), (5, "A a " * 6 + " ", 7)]
+    rows = [(1, None, 7), (2, "", 7), (3, " \t\n", 7), (4, beat, 7), (4, beat, 7), (None, "a\u00a0b " * 12, 7), (5, "A a " * 6 + "\u2003", 7)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, runs int")
     got = periodic.with_runs(docs, collapsed_col="short").collect()
     found = sorted((r.doc_id or 0, [tuple(x) for x in r.runs], r.short) for r in got)
     assert found == [
-        (0, [(0, 12, 1)], "a b"), (1, [], None), (2, [], ""), (3, [], ""), (4, [(0, 16, 2)], "tick tock"),
-        (4, [(0, 16, 2)], "tick tock"), (5, [(0, 12, 2)], "A a  "),
+        (0, [(0, 12, 1)], "a\u00a0b"), (1, [], None), (2, [], ""), (3, [], ""), (4, [(0, 16, 2)], "tick tock"),
+        (4, [(0, 16, 2)], "tick tock"), (5, [(0, 12, 2)], "A a \u2003"),
     ]
     assert periodic.with_runs(docs.where("doc_id < 0")).count() == 0
     assert periodic.run_digests(docs).where("n_runs = 0 AND start IS NULL AND exponent_milli IS NULL").count() == 3

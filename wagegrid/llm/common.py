@@ -49,8 +49,10 @@ def with_columns(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(held.values()), names=list(held))
 
 
-def looked_up(df: DataFrame, facts: DataFrame, key: str, spread: Column, max_rows: int = 100_000, copies: int = 16) -> DataFrame:
-    """``df`` with the columns of ``facts``, which has one row for every value of ``key``.
+def looked_up(
+    df: DataFrame, facts: DataFrame, key: str, spread: Column, max_rows: int = 100_000, copies: int = 16, how: str = "inner"
+) -> DataFrame:
+    """``df`` with the columns of ``facts``, which has at most one row for a value of ``key``.
 
     Up to ``max_rows`` facts (counted first) are sent to all tasks.  More of them are copied
     ``copies`` times, and the rows of a key are dealt over the copies by ``spread``, so that
@@ -58,6 +60,6 @@ def looked_up(df: DataFrame, facts: DataFrame, key: str, spread: Column, max_row
     """
     small = settings.small_side(facts, max_rows)
     if small is not facts:
-        return df.join(small, key)
+        return df.join(small, key, how)
     dealt = facts.withColumn("#copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
-    return df.withColumn("#copy", F.pmod(F.xxhash64(spread), F.lit(copies)).cast("int")).join(dealt, [key, "#copy"]).drop("#copy")
+    return df.withColumn("#copy", F.pmod(F.xxhash64(spread), F.lit(copies)).cast("int")).join(dealt, [key, "#copy"], how).drop("#copy")

@@ -22,6 +22,7 @@ from wagegrid.llm import (
     near_vectors,
     periodic,
     quality,
+    warc,
 )
 from wagegrid.llm.common import held_out
 
@@ -108,6 +109,12 @@ def op10_splitting_tree(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken(*mixing.mix(_table(spark, folder, "documents", "doc_id", "text", "source")))
 
 
+@_query
+def op11_chunked_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages", "page_id", "url", "html")
+    return warc.round_trip(pages, settings.new_folder(spark, "warc"))
+
+
 @_query
 def op12_recompressed_runs(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents", "doc_id", "text")
@@ -183,6 +190,17 @@ SELECT v.vec_id, coalesce(d.n, 0) AS n_links, l.c AS component_id, v.vec_id = l.
 FROM v JOIN least l ON l.x = v.vec_id LEFT JOIN degree d ON d.x = v.vec_id
 """
 
+_FIVE_BITS = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(sha, 5 * {i} + 1, 5))::BIGINT >> {shift}) & 31) + 1, 1)"
+_BASE32 = " || ".join(_FIVE_BITS.format(i=i, shift=shift) for i in range(8) for shift in (15, 10, 5, 0))
+
+SQL["op11_chunked_warc"] = f"""
+SELECT page_id, strlen(payload) AS payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> last THEN last END AS refers_to
+FROM (SELECT page_id, payload, sha1(payload) AS sha, max(page_id) OVER (PARTITION BY payload) AS last
+      FROM (SELECT page_id, coalesce(html, '') AS payload FROM pages))
+"""
+
 _SIZED = "coalesce(strlen({0}::VARCHAR) || ':' || {0}::VARCHAR, '-')"
 _LEAF = "sha256(" + " || ".join(_SIZED.format(c) for c in ("doc_id", "source", "lang", "{n_chars}", "text")) + ")"
 _HEIGHT = "CASE WHEN count(*) > 1 THEN length(bin(count(*) - 1)) ELSE 0 END"
