@@ -1,10 +1,14 @@
 """CSV and day-partitioned tables, there and back."""
 
+import csv
+import random
+
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wagegrid import schemas
-from wagegrid.sources import readers, writers
+from wagegrid.sources import csv_rows, readers, writers
 
 ROWS = [
     ("say \"hi\", all", "New York, NY", "Acme", "\n   $70,000 - $80,000 a year", "two\nlines \\ here"),
@@ -25,6 +29,60 @@ def test_csv_round_trip(spark, tmp_path):
     assert sorted(map(repr, back.collect())) == sorted(map(repr, want.collect()))
 
 
+@pytest.fixture
+def ranges(spark):
+    """Sets how many bytes of a file one task reads."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+
+    def read_by(size):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", 1)
+
+    yield read_by
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def _cells(draw, n):
+    """Texts with line breaks, quotes, commas, carriage returns and empty lines in quotes."""
+    marks = ["\n", '"', ",", "\r\n", "\n\n", "x", " y", "é", '""', "\\", "long " * 9]
+    return ["a" + "".join(draw.choice(marks) for _ in range(draw.randrange(7))) + "z" for _ in range(n)]
+
+
+@pytest.mark.parametrize("size", [10**9, 4_000, 700, 90, 20])
+def test_rows_do_not_depend_on_ranges(spark, tmp_path, ranges, size):
+    draw = random.Random(4)
+    rows = [(i, *_cells(draw, 2)) for i in range(200)]
+    rows[50] = (50, "inside quotes for many ranges\n" * 60, "z")
+    for name in ("one", "two"):  # several files, the last without a line end
+        with open(tmp_path / f"{name}.csv", "w", newline="") as file:
+            writer = csv.writer(file, lineterminator="\r\n" if name == "one" else "\n")
+            writer.writerow(["i", 'a "header"\nof lines', "b"])
+            writer.writerows(rows)
+            if name == "two":
+                file.write("200,last,row")
+    ranges(size)
+    schema = T.StructType([T.StructField("i", T.LongType()), *[T.StructField(c, T.StringType()) for c in ("an a", "b: 2")]])
+    read = readers.read_listings_csv(spark, str(tmp_path), schema)
+    assert sorted(map(tuple, read.collect())) == sorted([*rows, *rows, (200, "last", "row")])
+    if size == 20:
+        assert csv_rows._lines(spark, str(tmp_path)).rdd.getNumPartitions() > 50
+
+
+def test_many_open_ranges_are_joined(spark, tmp_path, ranges, monkeypatch):
+    monkeypatch.setattr("wagegrid.settings.small_side", lambda df, *_: df)
+    test_rows_do_not_depend_on_ranges(spark, tmp_path, ranges, 90)
+
+
+def test_lines_that_are_no_rows(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('x,y\n\n1,"open\n2,b\n')
+    (tmp_path / "b.csv").write_text("x,y\n")
+    (tmp_path / "c.csv").write_text("")
+    (tmp_path / "d.csv").write_text('x,y\n"",3\n  \n5\n')
+    read = readers.read_listings_csv(spark, str(tmp_path), T.StructType([T.StructField(c, T.StringType()) for c in "xy"]))
+    assert sorted(map(tuple, read.collect()), key=repr) == [("1", "open\n2,b"), ("5", None), (None, "3")]
+
+
 def test_numbers_round_trip(spark, tmp_path):
     df = spark.range(50).selectExpr(
         "id", "id / 7 as x", "timestamp_ntz'2024-01-01 00:00:00.123456' as t",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wagegrid import fixed_values, schemas
+from wagegrid.sources.csv_rows import csv_rows
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -51,23 +52,25 @@ def read_date_range(df: DataFrame, column: str, first: str, last: str) -> DataFr
     return df.where(F.col(column).between(F.lit(first).cast(kind), F.lit(last).cast(kind)))
 
 
+#: How cells are read: doubled quotes, empty cells missing.
+_CELLS = {"escape": '"', "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+
+
 def read_listings_csv(
     spark: SparkSession, path: str, schema: T.StructType = schemas.LISTINGS_RAW,
-    multi_line: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """CSV with a header row and a known schema; an empty cell is a missing value.
 
-    ``multi_line`` allows line breaks inside quotes, at the price of one task
-    per file; turn it off for files known to hold one row per line.
+    Line breaks inside quotes are part of a cell, and files are still read by many tasks
+    (``csv_rows``).  ``multi_line=False`` saves one of the two passes for files known
+    to hold one row per line.
     """
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-        .csv(path)
-    )
+    if not multi_line:
+        return spark.read.schema(schema).options(header=True, **_CELLS).csv(path)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    cells = F.from_csv("value", fields, {**_CELLS, "multiLine": "true"})
+    return csv_rows(spark, path).select(cells.alias("cells")).select("cells.*")
 
 
 def drop_saved_index(df: DataFrame, name: str = "Unnamed: 0") -> DataFrame:
