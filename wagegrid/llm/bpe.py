@@ -12,16 +12,20 @@ from __future__ import annotations
 import base64
 import hashlib
 import struct
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from wagegrid.llm.common import map_batches
+from wagegrid.llm.common import slices
 
 #: Letters and numbers that came after version 16 of Unicode (first, last).
 #: The tables that the ids must agree with know them as neither.
@@ -45,6 +49,8 @@ _NEITHER = "\ue000"
 #: Pieces of text whose ids a task remembers, and the longest of them.
 REMEMBERED = 200_000
 _REMEMBERED_LENGTH = 48
+#: Bytes of text encoded at a time (a longer text goes alone).
+SLICE_BYTES = 1 << 20
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -139,6 +145,15 @@ class Codec:
         return b"".join([ranks[i] for i in ids])
 
 
+def _sizes(column: pa.Array) -> list[int]:
+    """Bytes of each text, or those that as many ids take."""
+    if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+        sizes = pc.binary_length(column)
+    else:
+        sizes = pc.multiply(pc.list_value_length(column), 4)
+    return pc.fill_null(sizes, 0).to_pylist()
+
+
 @lru_cache(maxsize=2)
 def _codec(ranks: bytes, pattern: str) -> Codec:
     tokens = [base64.b64decode(t) for t in ranks.split(b"\n")]
@@ -153,14 +168,18 @@ class Tokenizer:
         self.ranks = b"\n".join(base64.b64encode(t) for t in read_ranks(path))
         self.pattern = pattern
 
-    def _each(self, df: DataFrame, make, schema: str) -> DataFrame:
+    def _each(self, df: DataFrame, column: str, make, schema: str | StructType) -> DataFrame:
+        """``make`` on runs of rows whose ``column`` holds about ``SLICE_BYTES`` together."""
         held = df.sparkSession.sparkContext.broadcast(self.ranks)
         pattern = self.pattern
 
-        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            return make(_codec(held.value, pattern), batch)
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                codec = _codec(held.value, pattern)
+                for first, last in slices(_sizes(batch.column(column)), SLICE_BYTES):
+                    yield make(codec, batch.slice(first, last - first))
 
-        return map_batches(df, run, schema)
+        return df.mapInArrow(run, schema)
 
     def encode(self, docs: DataFrame, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
         """All columns and the ids of the text, in ``ids_col`` (replaced if there).
@@ -173,9 +192,11 @@ class Tokenizer:
 
         def make(codec: Codec, batch: pa.RecordBatch) -> pa.RecordBatch:
             ids = codec.encode(batch.column(text_col).to_pylist())
-            return batch.append_column(ids_col, pa.array(ids, pa.list_(pa.int32())))
+            ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+            flat = np.fromiter(chain.from_iterable(ids), np.int32, int(ends[-1]))
+            return batch.append_column(ids_col, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
 
-        return self._each(kept, make, schema)
+        return self._each(kept, text_col, make, schema)
 
     def decode(self, tokens: DataFrame, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
         """All columns and the bytes of the ids; null for null ids."""
@@ -187,7 +208,7 @@ class Tokenizer:
             found = [None if i is None else codec.decode(i) for i in ids]
             return batch.append_column(out_col, pa.array(found, pa.binary()))
 
-        return self._each(kept, make, schema)
+        return self._each(kept, ids_col, make, schema)
 
     def digests(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """doc_id, n_tokens and digests of the ids and of the bytes decoded from them.
@@ -200,17 +221,15 @@ class Tokenizer:
 
         def make(codec: Codec, batch: pa.RecordBatch) -> pa.RecordBatch:
             counts, ids_sha, decoded_sha = [], [], []
-            texts = batch.column("text")
-            for at in range(0, len(texts), 256):
-                for ids in codec.encode(texts[at : at + 256].to_pylist()):
-                    counts.append(len(ids))
-                    ids_sha.append(hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest())
-                    decoded_sha.append(hashlib.sha256(codec.decode(ids)).hexdigest())
+            for ids in codec.encode(batch.column("text").to_pylist()):
+                counts.append(len(ids))
+                ids_sha.append(hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest())
+                decoded_sha.append(hashlib.sha256(codec.decode(ids)).hexdigest())
             return pa.record_batch({
                 "doc_id": batch.column("doc_id"), "n_tokens": pa.array(counts, pa.int64()),
                 "ids_sha256": pa.array(ids_sha, pa.string()), "decoded_sha256": pa.array(decoded_sha, pa.string()),
             })
 
         return self._each(
-            docs, make, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+            docs, "text", make, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
         )

@@ -35,9 +35,10 @@ def _letters() -> np.ndarray:
 def _gram_runs(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first text, n-grams, text of each n-gram) for about ``_BATCH_CHARS`` at a time."""
     for first, last in slices([len(t or "") + 1 for t in texts], _BATCH_CHARS):
-        joined = "\0".join((t or "").lower() for t in texts[first:last])
-        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-        text = np.cumsum(points == 0) if len(points) else points
+        lowered = [(t or "").lower() for t in texts[first:last]]
+        points = np.frombuffer(" ".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        # the blank behind a text is its own; numbers come from lengths, as texts hold any character
+        text = np.repeat(np.arange(len(lowered)), [len(t) + 1 for t in lowered])[:-1]
         letter = _letters()[points]
         # one blank between words: keep letters and the first other character behind one
         keep = letter.copy()

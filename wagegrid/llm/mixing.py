@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wagegrid import settings
+from wagegrid.llm.common import looked_up
 
 #: A source gives at most so many times its size, and so does a document.
 MOST = 3
@@ -86,40 +87,45 @@ def _stride(n: int, seed: int) -> int:
 
 def _placed(rows: DataFrame, seed: int) -> DataFrame:
     """``rows`` with ``start``: words of the source's line before the document."""
-    runs = rows.groupBy("source").agg(F.ceil(F.count("*") / _RUN).alias("runs"))
-    mixed = F.xxhash64(F.lit(seed), "doc_id")
-    rows = rows.join(runs, rows.source.eqNullSafe(runs.source)).drop(runs.source)
+    runs = rows.groupBy("number").agg(F.ceil(F.count("*") / _RUN).alias("runs"))
+    mixed = F.xxhash64(F.lit(seed), "doc_id", "size", "content")
+    rows = looked_up(rows, runs, "number", F.col("row"))
     rows = rows.withColumn("mixed", mixed).withColumn("run", F.pmod("mixed", "runs")).drop("runs")
-    sums = rows.groupBy("source", "run").agg(F.sum("size").alias("words"))
-    before = Window.partitionBy("source").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy("number", "run").agg(F.sum("size").alias("words"))
+    before = Window.partitionBy("number").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("before", F.coalesce(F.sum("words").over(before), F.lit(0))).drop("words")
-    sums = sums.withColumnsRenamed({"source": "s", "run": "r"})
-    inside = Window.partitionBy("source", "run").orderBy("mixed", "doc_id", "size")
+    inside = Window.partitionBy("number", "run").orderBy("mixed", "doc_id", "size", "content")
     inside = inside.rowsBetween(Window.unboundedPreceding, -1)
-    joined = rows.join(sums, rows.source.eqNullSafe(sums.s) & (rows.run == sums.r))
+    joined = rows.join(sums, ["number", "run"])
     return joined.withColumn("start", F.col("before") + F.coalesce(F.sum("size").over(inside), F.lit(0))).drop(
-        "s", "r", "before", "mixed", "run"
+        "run", "before", "mixed"
     )
 
 
 def mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-    seed: int = 7, block: int = BLOCK, shard_blocks: int = SHARD_BLOCKS,
+    seed: int = 7, block: int = BLOCK, shard_blocks: int = SHARD_BLOCKS, row_col: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The documents with their source's target, and the pieces of the mix.
 
-    First: doc_id, source, size, source_size, target, row for every row of ``docs``.  Second:
-    shard, position, doc_id, row, pass, first_word, words: words ``first_word`` to
+    First: row, doc_id, source, size, source_size, target for every row of ``docs``.  Second:
+    shard, position, row, doc_id, pass, first_word, words: words ``first_word`` to
     ``first_word + words`` of a document, ``pass`` being how often the document was
     run through before.  Positions shuffle the pieces of a shard.
 
-    A null text has no words and gives no piece; a null source is a source of its own,
-    the last one.  Rows that share an id are documents of their own; ``row`` tells them apart
-    (equal rows may swap theirs).  Equal inputs give equal mixes.  The driver holds one number per source.
-    Other columns are not looked at.
+    ``row`` numbers the rows of ``docs`` (``row_col`` names a column that does so already): rows
+    that share an id are documents of their own, with any sizes, sources and texts.  Places on
+    the line follow from id, size and text alone, so that equal inputs give equal mixes
+    however they are dealt over tasks; equal rows are interchangeable.  A null text has no
+    words and gives no piece; a null source is a source of its own, the last one; null ids are
+    ids like others.  An empty table has an empty mix.  The driver holds one number per
+    source.  Other columns are not looked at.
     """
+    number = F.monotonically_increasing_id() if row_col is None else F.col(row_col)
     rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")
+        number.alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
+        word_count(F.col(text_col)).alias("size"), F.xxhash64(text_col).alias("content"),
+        F.coalesce(F.concat(F.lit("="), F.col(source_col)), F.lit("")).alias("key"),
     )
     rows = settings.written(rows, "mix-sizes")
     spark = docs.sparkSession
@@ -129,12 +135,10 @@ def mix(
     lines = [round(targets[s]) for s in names]
     quotas = [-(-n // block) for n in lines]
     facts = spark.createDataFrame(
-        [(i, s, sizes[s], float(targets[s]), lines[i], quotas[i]) for i, s in enumerate(names)],
-        "number int, s string, source_size long, target double, line long, quota long",
+        [(i, "" if s is None else f"={s}", sizes[s], float(targets[s]), lines[i], quotas[i]) for i, s in enumerate(names)],
+        "number int, key string, source_size long, target double, line long, quota long",
     )
-    kept = rows.join(F.broadcast(facts), rows.source.eqNullSafe(facts.s)).drop("s")
-    again = Window.partitionBy("doc_id", "source", "size").orderBy(F.lit(0))
-    kept = kept.withColumn("row", F.row_number().over(again) - 1)
+    kept = looked_up(rows, facts, "key", F.col("row")).drop("key")
     kept = settings.written(_placed(kept, seed), "mix-places")
 
     # blocks that each pass of a document touches
@@ -143,18 +147,17 @@ def mix(
     begin = F.col("start") + F.col("pass") * F.col("source_size")
     held = held.withColumn("begin", begin).withColumn("end", F.least(begin + F.col("size"), F.col("line")))
     touched = F.sequence(F.floor(F.col("begin") / block), F.floor((F.col("end") - 1) / block))
-    pieces = settings.unfolded(held.select("number", "doc_id", "row", "pass", "begin", "end"), touched, "block")
+    pieces = settings.unfolded(held.select("number", "row", "doc_id", "content", "pass", "begin", "end"), touched, "block")
     owned = _owners(spark, np.array(quotas, np.int64), shard_blocks, seed)
     low, high = F.greatest("begin", F.col("block") * block), F.least("end", (F.col("block") + 1) * block)
     pieces = pieces.join(owned, ["number", "block"]).select(
-        "shard", "doc_id", "row", "pass", (low - F.col("begin")).alias("first_word"), (high - low).alias("words")
-    )
-    local = Window.partitionBy("shard").orderBy(
-        F.xxhash64(F.lit(seed + 1), "shard", "doc_id", "row", "pass", "first_word"), "doc_id", "row", "pass", "first_word"
+        "shard", "row", "doc_id", "content", "pass", (low - F.col("begin")).alias("first_word"), (high - low).alias("words")
     )
+    told = ["doc_id", "content", "pass", "first_word"]
+    local = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed + 1), "shard", *told), *told)
     pieces = pieces.withColumn("position", F.row_number().over(local) - 1)
-    return kept.select("doc_id", "source", "size", "source_size", "target", "row"), pieces.select(
-        "shard", "position", "doc_id", "row", "pass", "first_word", "words"
+    return kept.select("row", "doc_id", "source", "size", "source_size", "target"), pieces.select(
+        "shard", "position", "row", "doc_id", "pass", "first_word", "words"
     )
 
 
@@ -175,9 +178,8 @@ def _owners(spark, quotas: np.ndarray, shard_blocks: int, seed: int) -> DataFram
 
 def taken(documents: DataFrame, pieces: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken (words the mix takes, repeats counted)."""
-    words = pieces.groupBy("doc_id", "row").agg(F.sum("words").alias("taken"))
-    words = words.withColumnsRenamed({"doc_id": "d", "row": "r"})
-    joined = documents.join(words, documents.doc_id.eqNullSafe(words.d) & (documents.row == words.r), "left")
+    words = pieces.groupBy("row").agg(F.sum("words").alias("taken"))
+    joined = documents.join(words, "row", "left")
     return joined.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
 
 
@@ -186,34 +188,22 @@ def mixed_documents(docs: DataFrame, seed: int = 7, block: int = BLOCK, shard_bl
 
     One row for each pass in which the mix takes a document; where it takes only part
     of a document's words, the text is cut to them, from the first to the last taken
-    (pieces of a pass are neighbours).  ``n_chars`` follows the text.  Pieces of a row
-    go to the shard that holds its first words.
+    (pieces of a pass are neighbours).  ``n_chars`` follows the text.  The rows are written
+    once with a number, by which their pieces find them.  Rows without words are in no mix.
     """
-    documents, pieces = mix(docs, seed=seed, block=block, shard_blocks=shard_blocks)
-    parts = pieces.groupBy("doc_id", "row", "pass").agg(
-        F.min("first_word").alias("first_word"), F.sum("words").alias("words"),
-    )
-    sized = docs.withColumn("#size", word_count(F.col("text")))
-    again = Window.partitionBy("doc_id", "source", "#size").orderBy(F.lit(0))
-    sized = sized.withColumn("#row", F.row_number().over(again) - 1)
-    wanted = documents.select("doc_id", "source", "size", "row").join(
-        parts.withColumnsRenamed({"doc_id": "d", "row": "r"}),
-        F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r")),
-    ).drop("d", "r").withColumnsRenamed({c: f"#{c}" for c in ("source", "doc_id")}).withColumnsRenamed(
-        {c: f"#w_{c}" for c in ("size", "row", "pass", "first_word", "words")}
-    )
-    joined = sized.join(
-        wanted,
-        F.col("doc_id").eqNullSafe(F.col("#doc_id")) & F.col("source").eqNullSafe(F.col("#source"))
-        & (F.col("#size") == F.col("#w_size")) & (F.col("#row") == F.col("#w_row")),
-    )
-    whole = F.col("#w_words") >= F.col("#size")
+    docs = settings.written(docs.withColumn("#row", F.monotonically_increasing_id()), "mix-docs")
+    _, pieces = mix(docs, seed=seed, block=block, shard_blocks=shard_blocks, row_col="#row")
+    parts = pieces.groupBy(F.col("row").alias("#row"), "pass").agg(
+        F.min("first_word").alias("#first"), F.sum("words").alias("#words"),
+    ).drop("pass")
+    joined = docs.join(parts, "#row")
+    whole = F.col("#words") >= word_count(F.col("text"))
     # words and the white space behind each
     runs = F.slice(F.regexp_extract_all("text", F.lit(_WORD + r"[\x20\x09-\x0D]*"), F.lit(0)),
-                   (F.col("#w_first_word") + 1).cast("int"), F.col("#w_words").cast("int"))
-    text = F.when(whole, F.col("text")).otherwise(F.regexp_replace(F.array_join(runs, ""), r"[\x20\x09-\x0D]+$", ""))
-    changed = joined.withColumn("text", text)
+                   (F.col("#first") + 1).cast("int"), F.col("#words").cast("int"))
+    cut = F.regexp_replace(F.array_join(runs, ""), r"[\x20\x09-\x0D]+$", "")
+    changed = joined.withColumn("#whole", whole).withColumn("text", F.when(F.col("#whole"), F.col("text")).otherwise(cut))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        changed = changed.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.length("text").cast(kind)))
-    return changed.select(*docs.columns)
+        changed = changed.withColumn("n_chars", F.when(F.col("#whole"), F.col("n_chars")).otherwise(F.length("text").cast(kind)))
+    return changed.drop("#row", "#first", "#words", "#whole")
