@@ -118,6 +118,21 @@ def test_details_are_cast_and_appended(spark, tmp_path):
     assert str(row.detail_date) == "2024-01-02"
 
 
+def test_a_run_counts_once(spark, tmp_path):
+    path = str(tmp_path / "days")
+    rows = spark.range(6).selectExpr("id", "timestamp'2024-01-01 12:00:00' + make_interval(0, 0, 0, id) as search_datetime")
+    writers.append_search_day(rows, path, run="2024-01-06")
+    writers.append_search_day(rows.where("id < 2"), path, run="b")
+    # the second attempt has fewer days: those of the first do not stay
+    for _ in range(2):
+        writers.append_search_day(rows.where("id > 3"), path, run="2024-01-06")
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 1, 4, 5]
+    day = readers.read_day(spark, path, "2024-01-02")
+    assert [(r.id, r.run) for r in day.collect()] == [(1, "b")]
+    with pytest.raises(ValueError, match="run names"):
+        writers.append_search_day(rows, path, run="../x")
+
+
 def test_sheet_is_cleared_or_kept(spark, tmp_path):
     path = str(tmp_path / "sheet")
     df = spark.createDataFrame([(1, None), (2, "b")], "a int, b string")

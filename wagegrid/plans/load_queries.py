@@ -68,8 +68,15 @@ FROM orders"""
 )
 def append_details(spark, folder):
     """Two runs append the same postings, each under the stamp of its run."""
+    path = settings.new_folder(spark, "details")
+    for stamp in ("20240601 08:30", "20240602 09:15"):
+        writers.append_details(_order_details(spark, folder, stamp), path)
+    return _stored_details(spark, path)
+
+
+def _order_details(spark, folder, stamp):
     text = F.lit(None).cast("string")
-    details = table(spark, folder, "orders").select(
+    return table(spark, folder, "orders").select(
         F.col("o_orderkey").cast("string").alias("job_id"),
         F.date_format("o_orderdate", "yyyyMMdd HH:mm").alias("search_datetime"),
         *[text.alias(n) for n in ("location", "search_title", "search_location", "job_desc")],
@@ -77,12 +84,11 @@ def append_details(spark, folder):
         F.col("o_orderpriority").alias("company"),
         F.col("o_totalprice").cast("string").alias("company_rating"),
         F.col("o_custkey").cast("string").alias("company_rating_count"),
+        F.lit(stamp).alias("search_detail_datetime"),
     )
-    path = settings.new_folder(spark, "details")
-    for stamp in ("20240601 08:30", "20240602 09:15"):
-        writers.append_details(
-            details.withColumn("search_detail_datetime", F.lit(stamp)), path
-        )
+
+
+def _stored_details(spark, path):
     return spark.read.schema(schemas.JOB_DETAILS).parquet(path).select(
         "job_id", "title", "company",
         F.date_format("search_datetime", "yyyyMMdd HH:mm").alias("searched"),
@@ -91,6 +97,15 @@ def append_details(spark, folder):
     )
 
 
+@query("append_details_run", _DETAILS_SQL.format("20240602 09:15"))
+def append_details_run(spark, folder):
+    """A run that is repeated on another day counts once, as its last attempt left it."""
+    path = settings.new_folder(spark, "details")
+    for stamp in ("20240601 08:30", "20240602 09:15"):
+        writers.append_details(_order_details(spark, folder, stamp), path, run="nightly")
+    return _stored_details(spark, path)
+
+
 @query(
     "append_search_day",
     "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, COUNT(*) AS n, "
@@ -105,6 +120,24 @@ def append_search_day(spark, folder):
     )
 
 
+@query(
+    "append_search_run",
+    "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type AS run, COUNT(*) AS n, "
+    "CAST(SUM(event_id) AS BIGINT) AS id_sum FROM events GROUP BY 1, 2",
+)
+def append_search_run(spark, folder):
+    """One run per kind of event, each written twice: the second attempt replaces the first."""
+    path = settings.new_folder(spark, "events")
+    events = table(spark, folder, "events")
+    kinds = [r[0] for r in events.select("event_type").distinct().collect()]
+    for kind in kinds * 2:
+        writers.append_search_day(events.where(F.col("event_type") == kind), path, "ts", run=kind)
+    stored = spark.read.parquet(path)
+    return stored.groupBy(F.col("search_date").cast("string").alias("day"), "run").agg(
+        F.count("*").alias("n"), F.sum("event_id").alias("id_sum")
+    )
+
+
 @query(
     "export_sheet",
     "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, "
@@ -217,9 +250,7 @@ def _first_link(pages_table):
     return F.regexp_extract(pages_table["html"], link, 1)
 
 
-@query(
-    "incremental_load",
-    """
+_CAPTURED_SQL = """
 WITH captured AS (
   SELECT page_id, url,
     replace(list_last(string_split(regexp_extract(html, '<a href="([^"]*)"', 1), '=')), '&amp;', '&') AS job_id,
@@ -229,12 +260,13 @@ latest AS (
   SELECT job_id, title, row_number() OVER (PARTITION BY job_id ORDER BY page_id DESC) AS r FROM captured)
 SELECT s.job_id, l.title, s.url AS company, s.page_id AS search_title,
        0.0::DOUBLE AS company_rating, 0 AS company_rating_count
-FROM captured s JOIN latest l ON s.job_id = l.job_id AND l.r = 1""",
-)
-def incremental_load(spark, folder):
-    """Load all pages, then load them again from the start: the rerun adds nothing."""
+FROM {searched} s JOIN latest l ON s.job_id = l.job_id AND l.r = 1"""
+
+
+def _searched_pages(spark, folder):
+    """A search row for every page, found by its first link."""
     captured = readers.read_pages(spark, f"{folder}/pages.parquet")
-    search = captured.select(
+    return captured.select(
         F.element_at(F.split(F.replace(_first_link(captured), F.lit("&amp;"), F.lit("&")), "="), -1)
         .alias("job_id"),
         F.lit("2024-01-01 00:00").cast("timestamp").alias("search_datetime"),
@@ -244,16 +276,44 @@ def incremental_load(spark, folder):
         F.lit(None).cast("string").alias("title"),
         F.col("url").alias("company"),
     )
-    base = settings.new_folder(spark, "load")
-    for run in ("first", "again"):
-        detail_load.incremental_load(
-            spark, detail_load.page_stream(spark, folder, pattern="pages.parquet"), search,
-            details_path=f"{base}/details", rejects_path=f"{base}/rejects",
-            checkpoint=f"{base}/{run}", stamp=F.lit("2024-01-02 03:04:05").cast("timestamp"),
-            parse=_page_details,
-        ).awaitTermination()
+
+
+def _load_pages(spark, folder, base, search, checkpoint):
+    detail_load.incremental_load(
+        spark, detail_load.page_stream(spark, folder, pattern="pages.parquet"), search,
+        details_path=f"{base}/details", rejects_path=f"{base}/rejects",
+        checkpoint=f"{base}/{checkpoint}", stamp=F.lit("2024-01-02 03:04:05").cast("timestamp"),
+        parse=_page_details,
+    ).awaitTermination()
+
+
+def _loaded(spark, base):
     loaded = detail_load.stored(spark, f"{base}/details", schemas.JOB_DETAILS)
     return loaded.select(
         "job_id", "title", "company", F.col("search_title").cast("long").alias("search_title"),
         "company_rating", "company_rating_count",
     )
+
+
+@query("incremental_load", _CAPTURED_SQL.format(searched="captured"))
+def incremental_load(spark, folder):
+    """Load all pages, then load them again from the start: the rerun adds nothing."""
+    base = settings.new_folder(spark, "load")
+    for run in ("first", "again"):
+        _load_pages(spark, folder, base, _searched_pages(spark, folder), run)
+    return _loaded(spark, base)
+
+
+@query(
+    "load_pending",
+    _CAPTURED_SQL.format(
+        searched="(SELECT *, bool_or(page_id % 2 = 0) OVER (PARTITION BY job_id) AS early FROM captured)"
+    ) + " WHERE s.page_id % 2 = 0 OR NOT s.early",
+)
+def load_pending(spark, folder):
+    """All pages are captured before half of the search rows come; the next run loads the rest."""
+    base = settings.new_folder(spark, "load")
+    search = _searched_pages(spark, folder)
+    _load_pages(spark, folder, base, search.where(F.col("search_title").cast("long") % 2 == 0), "runs")
+    _load_pages(spark, folder, base, search, "runs")
+    return _loaded(spark, base)

@@ -1,8 +1,17 @@
 """Incremental loading of posting details.
 
-New page files are read as a stream.  Each micro-batch takes the fields out,
-leaves out what is stored already, joins the search rows and appends.  A
-repeated batch, or a whole repeated run, adds nothing.
+New page files are read as a stream.  Each micro-batch takes the fields out, leaves out
+what was loaded before, joins the search rows and appends.  Three tables remember:
+
+* ``seen``: ids that were loaded, partitioned by a hash of the id, so that a batch reads
+  only the parts its ids fall into;
+* ``pending``: postings whose page came before any search row of theirs; every run first
+  loads those that have one by now;
+* ``rejects``: pages without a posting id.
+
+All tables are written run by run, a run being a micro-batch of a query (or one look at the
+pending postings).  A batch that fails halfway and is repeated replaces what it left, and a
+whole load that is started anew adds nothing.
 """
 
 from __future__ import annotations
@@ -19,7 +28,22 @@ from wagegrid import schemas, settings
 from wagegrid.operators import cleaning, joins, pages
 from wagegrid.sources import writers
 
-REJECTS = T.StructType([T.StructField("page_id", T.LongType(), True)])
+_RUN = T.StructField("run", T.StringType(), True)
+REJECTS = T.StructType([T.StructField("page_id", T.LongType(), True), _RUN])
+SEEN = T.StructType([
+    T.StructField("job_id", T.StringType(), True), T.StructField("bucket", T.IntegerType(), True), _RUN,
+])
+DETAILS = T.StructType([*schemas.JOB_DETAILS.fields, _RUN])
+PENDING = T.StructType([
+    T.StructField("page_id", T.LongType(), True),
+    *[T.StructField(c, T.StringType(), True) for c in ("job_id", "desc_title", "job_desc", "desc_company")],
+    T.StructField("company_rating", T.DoubleType(), True),
+    T.StructField("company_rating_count", T.IntegerType(), True), _RUN,
+])
+RUNS = T.StructType([T.StructField("done", T.LongType(), True)])
+
+#: Parts of the table of loaded ids.
+BUCKETS = 256
 
 
 def page_stream(
@@ -55,46 +79,113 @@ def stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def _bucket(column: str = "job_id") -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(BUCKETS)).cast("int").alias("bucket")
+
+
+def unseen(details: DataFrame, seen_path: str, run: str) -> DataFrame:
+    """Details whose id no other run has loaded.
+
+    At most ``BUCKETS`` numbers reach the driver; parts of the table that no id falls into
+    are neither listed in the plan nor read.
+    """
+    spark = details.sparkSession
+    touched = [r.bucket for r in details.select(_bucket()).distinct().collect()]
+    seen = stored(spark, seen_path, SEEN).where(F.col("bucket").isin(touched) & (F.col("run") != run))
+    return joins.unseen_ids(details, seen)
+
+
+def _load(
+    fresh: DataFrame, search: DataFrame, details_path: str, seen_path: str, stamp: Column, run: str,
+) -> DataFrame:
+    """Append details that have search rows; returns those that have none.
+
+    Details are written before their ids: an attempt that ends in between is repeated
+    under the same name and replaces them.
+    """
+    # Ids of a batch are few next to the tables: the search table is narrowed by a
+    # broadcast of the ids and not shuffled.
+    ids = settings.small_side(fresh.select("job_id").distinct())
+    searched = search.join(ids, "job_id", "left_semi")
+    writers.append_details(detail_rows(fresh, searched, stamp), details_path, run=run)
+    loaded = stored(fresh.sparkSession, details_path, DETAILS).where(F.col("run") == run).select("job_id").distinct()
+    writers.write_run(loaded.withColumn("bucket", _bucket()), seen_path, run, "bucket")
+    return joins.unseen_ids(fresh, loaded)
+
+
 def load_batch(
     batch: DataFrame, search: DataFrame, details_path: str, rejects_path: str, stamp: Column,
-    parse: Callable[[DataFrame], DataFrame] = pages.detail_fields,
+    parse: Callable[[DataFrame], DataFrame] = pages.detail_fields, *, state_path: str, run: str,
 ) -> None:
     """Append what a batch of pages adds to the stored details.
 
-    Several captures of a posting in one batch count once, the latest page;
-    pages without an id go to the rejects.
+    Several captures of a posting in one batch count once, the latest page.  Pages without
+    an id go to the rejects, once for each page id (also for the null one).  Postings
+    without a search row wait in the pending table.
     """
     spark = batch.sparkSession
     parsed = parse(batch).persist()
     try:
-        rejected = pages.rejects(parsed).select("page_id")
-        kept_apart = stored(spark, rejects_path, REJECTS)
-        joins.unseen_ids(rejected, kept_apart, "page_id").write.mode("append").parquet(
-            rejects_path
-        )
-        known_id = parsed.where(F.col("job_id").isNotNull())
-        # Ids of a batch are few next to the tables: both tables are narrowed by
-        # a broadcast of the ids and not shuffled.
-        ids = settings.small_side(known_id.select("job_id").distinct())
-        latest = joins.latest_per_id(known_id, ["page_id"]).drop("page_id")
-        details = stored(spark, details_path, schemas.JOB_DETAILS)
-        fresh = joins.unseen_ids(latest, details, ids=ids)
-        searched = search.join(ids, "job_id", "left_semi")
-        writers.append_details(detail_rows(fresh, searched, stamp), details_path)
+        rejected = pages.rejects(parsed).select("page_id").distinct()
+        known = stored(spark, rejects_path, REJECTS).where(F.col("run") != run).select(F.col("page_id").alias("known"))
+        new = rejected.join(known, F.col("page_id").eqNullSafe(F.col("known")), "left_anti")
+        writers.write_run(new, rejects_path, run)
+        latest = joins.latest_per_id(parsed.where(F.col("job_id").isNotNull()), ["page_id"])
+        # the rows are taken from what is written: a posting is worked out once
+        fresh = settings.written(unseen(latest, f"{state_path}/seen", run), "fresh")
+        waiting = _load(fresh, search, details_path, f"{state_path}/seen", stamp, run)
+        writers.write_run(waiting.select(PENDING.names[:-1]), f"{state_path}/pending", run)
     finally:
         parsed.unpersist()
 
 
+def load_pending(
+    spark: SparkSession, search: DataFrame, details_path: str, stamp: Column, *, state_path: str,
+) -> None:
+    """Append pending postings that have a search row by now: of each, its latest page.
+
+    The run is named by the number of such runs that ended, so that one that failed is
+    repeated under its name.  Postings loaded since they were put aside are left out.
+    """
+    done = stored(spark, f"{state_path}/pending_runs", RUNS).count()
+    run = f"pending-{done}"
+    pending = stored(spark, f"{state_path}/pending", PENDING)
+    wanted = pending.join(search.select("job_id").distinct(), "job_id", "left_semi")
+    latest = joins.latest_per_id(wanted.drop("run"), ["page_id"])
+    fresh = settings.written(unseen(latest, f"{state_path}/seen", run), "fresh")
+    if fresh.isEmpty():
+        return
+    _load(fresh, search, details_path, f"{state_path}/seen", stamp, run)
+    spark.createDataFrame([(done,)], RUNS).coalesce(1).write.mode("append").parquet(f"{state_path}/pending_runs")
+
+
+def pending_postings(spark: SparkSession, state_path: str) -> DataFrame:
+    """The latest page of each posting that still waits for a search row."""
+    pending = stored(spark, f"{state_path}/pending", PENDING).drop("run")
+    return unseen(joins.latest_per_id(pending, ["page_id"]), f"{state_path}/seen", "")
+
+
 def incremental_load(
     spark: SparkSession, pages_stream: DataFrame, search: DataFrame, *, details_path: str,
     rejects_path: str, checkpoint: str, stamp: Column | None = None,
-    parse: Callable[[DataFrame], DataFrame] = pages.detail_fields,
+    parse: Callable[[DataFrame], DataFrame] = pages.detail_fields, state_path: str | None = None,
 ) -> StreamingQuery:
-    """Load all pages that are there, then stop; run again for those that came since."""
-    run_stamp = F.current_timestamp() if stamp is None else stamp
+    """Load all pages that are there, then stop; run again for those that came since.
 
-    def each(batch: DataFrame, _: int) -> None:
-        load_batch(batch, search, details_path, rejects_path, run_stamp, parse)
+    Pending postings come first.  ``state_path`` (default: beside the details) keeps what
+    the load remembers.
+    """
+    run_stamp = F.current_timestamp() if stamp is None else stamp
+    state = f"{details_path}-state" if state_path is None else state_path
+    load_pending(spark, search, details_path, run_stamp, state_path=state)
+
+    def each(batch: DataFrame, number: int) -> None:
+        # the id stays with the checkpoint, so that a repeated batch has its name again
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        load_batch(
+            batch, search, details_path, rejects_path, run_stamp, parse,
+            state_path=state, run=f"{query}-{number}",
+        )
 
     return (
         pages_stream.writeStream.foreachBatch(each)
