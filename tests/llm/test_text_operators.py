@@ -1,10 +1,12 @@
 """Near copies, lines, mixing, tokens and languages against plain Python."""
 
 import hashlib
+import random
 import re
 import struct
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations, pairwise
 
 import numpy as np
 import public_tokenizers
@@ -102,11 +104,9 @@ def plain_lines(rows):
             if p := line_dedup.plain(line):
                 where[p].append((i, k))
     names = sorted(where)
-    facts = line_dedup._line_facts(pa.array(names))
-    bits = [int(s) & (1 << 64) - 1 for s in facts["simhash"]]
+    keys = [set(k) for k in line_dedup._line_facts(pa.array(names, pa.string()), with_keys=True)["keys"].to_pylist()]
     links = [
-        (a, b) for i, a in enumerate(names) for j, b in enumerate(names[:i])
-        if (bits[i] ^ bits[j]).bit_count() <= line_dedup.MOST_BITS and line_dedup.similar(a, b)
+        (a, b) for i, a in enumerate(names) for j, b in enumerate(names[:i]) if keys[i] & keys[j] and line_dedup.similar(a, b)
     ]
     least = reachable(names, links)
     first = {}
@@ -136,6 +136,52 @@ def test_line_dedup_equals_brute_force(spark, docs):
     assert Counter((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in got) == wanted
 
 
+@pytest.mark.parametrize("n", [5, 8, 12, 20, 35, 60, 100])
+@pytest.mark.parametrize("edit", ["letter", "word", "swap", "two words", "three words"])
+def test_line_keys_find_edited_lines(n, edit):
+    """Of the edited lines that are similar enough, at least 0.9 share a key with the line."""
+    import pyarrow as pa
+
+    draw = random.Random(f"{n} {edit}")
+    before, after = [], []
+    while len(before) < 150:
+        own = ["".join(draw.choice("abcdefghijklmnop") for _ in range(draw.randint(2, 9))) for _ in range(n)]
+        new = list(own)
+        for i in draw.sample(range(n), {"two words": 2, "three words": 3}.get(edit, 1)):
+            if edit == "letter":
+                new[i] = new[i][:-1] + "z"
+            elif edit == "swap":
+                new[i - 1], new[i] = new[i], new[i - 1]
+            else:
+                new[i] = "".join(draw.choice("qrstuv") for _ in range(4)) if draw.random() < 0.7 else ""
+        new = " ".join(w for w in new if w)
+        if not line_dedup.similar(" ".join(own), new):
+            if n < 20 and edit != "letter":
+                return  # a line this short is seldom similar after such an edit
+            continue
+        before.append(" ".join(own))
+        after.append(new)
+    keys = [line_dedup._line_facts(pa.array(t), with_keys=True)["keys"].to_pylist() for t in (before, after)]
+    assert sum(bool(set(a) & set(b)) for a, b in zip(*keys, strict=True)) >= 135
+
+
+def test_keys_find_similar_lines_of_the_documents(sf):
+    """Recall against all pairs of lines that share a pair of words."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table(f"{sf}/documents.parquet", columns=["text"]).column("text").to_pylist()
+    names = sorted({p for t in texts if t for line in t.split("\n") if (p := line_dedup.plain(line))})
+    found = defaultdict(list)
+    for i, name in enumerate(names):
+        for pair in set(pairwise(name.split())):
+            found[pair].append(i)
+    near = {(i, j) for held in found.values() if len(held) < 500 for i, j in combinations(held, 2)}
+    near = [(i, j) for i, j in near if line_dedup.similar(names[i], names[j])]
+    keys = [set(k) for k in line_dedup._line_facts(pa.array(names), with_keys=True)["keys"].to_pylist()]
+    assert len(near) > 20 and sum(bool(keys[i] & keys[j]) for i, j in near) >= 0.9 * len(near)
+
+
 def test_line_dedup_of_nothing(no_docs):
     assert line_dedup.line_dedup(no_docs).collect() == []
 

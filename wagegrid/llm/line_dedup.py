@@ -2,23 +2,26 @@
 
 A line is compared by its words: runs of bytes that are neither white space nor ASCII
 punctuation, A-Z as a-z, joined by one blank.  Lines with equal words form a class.
-Classes whose 64-bit SimHashes differ in at most ``MOST_BITS`` bits and whose edit
-similarity (1 - distance / longer length) is at least ``SIMILARITY`` link.
-
-Pigeonhole: of ``BLOCKS`` blocks of the SimHash, ``BLOCKS - MOST_BITS`` are equal in any
-such pair, so a class is filed under every choice of that many blocks, together with a
-class of length that both lines share.  In a bucket, classes are compared with one
-leader; only those that did not join the leader's component meet the others as well.
+Classes that share a key and whose edit similarity (1 - distance / longer length) is at least
+``SIMILARITY`` link.
+
+A line's SimHash has one block of 64 bits for every ``BLOCK_WORDS`` words or so, at least
+``LEAST_BLOCKS``; a word votes in the block its hash names.  A changed word touches two
+blocks at most, so that a line whose changes touch less than half of its blocks keeps two
+neighbouring blocks as they were (the last block neighbours the first).  A class is filed
+under every pair of neighbouring blocks.  The number of blocks doubles with the length; a line
+near the edge is filed for both numbers.  In a bucket, classes are compared with one leader;
+only those that did not join the leader's component meet the others as well.
 """
 
 from __future__ import annotations
 
-import math
-from itertools import combinations
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wagegrid import settings
@@ -26,14 +29,18 @@ from wagegrid.llm import words
 from wagegrid.llm.common import map_batches, slices, with_columns
 from wagegrid.llm.graph import components
 
-#: SimHash bits in which linked lines may differ.
-MOST_BITS = 3
-#: Blocks of the SimHash; more blocks mean longer keys, and more of them.
-BLOCKS = 5
+#: Words for each block of the SimHash, and fewest blocks.
+BLOCK_WORDS = 4
+LEAST_BLOCKS = 5
+#: Words that two neighbouring blocks must hold to be a key (all, of a shorter line).
+KEY_WORDS = 3
 #: Least edit similarity of linked lines.
 SIMILARITY = 0.9
-#: Ratio of a class of length to the one before; above 1 / SIMILARITY.
-_LENGTHS = 1.25
+#: A line is filed for its own number of words and for one that is longer by so much.
+_LONGER = 0.93
+
+#: Bytes of text whose lines are worked on at a time.
+_SLICE_BYTES = 4 << 20
 
 _APART = np.zeros(256, bool)
 _APART[list(b"\t\n\x0b\x0c\r !\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")] = True
@@ -48,10 +55,52 @@ def plain(line: str) -> str:
     return b" ".join(np.where(_APART[data], 32, data).astype(np.uint8).tobytes().split()).decode()
 
 
-def _line_facts(texts: pa.Array) -> dict[str, np.ndarray]:
-    """Of every line with words: its text, number, two hashes, SimHash and length, in order."""
+def _blocks(n: np.ndarray) -> np.ndarray:
+    """Blocks of the SimHash of lines with ``n`` words."""
+    doubled = 1 << np.floor(np.log2(np.maximum(n / BLOCK_WORDS, 1))).astype(np.int64)
+    return np.maximum(LEAST_BLOCKS, doubled)
+
+
+def _keys_for(hashes: np.ndarray, starts: np.ndarray, n: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(line, key) for lines of ``n`` words from ``starts`` on, with the given numbers of blocks."""
+    line = np.repeat(np.arange(len(n)), n)
+    own = hashes[np.repeat(starts - np.cumsum(n) + n, n) + np.arange(len(line))]
+    first = np.cumsum(blocks) - blocks
+    block = first[line] + (own % blocks[line].astype(np.uint64)).astype(np.int64)
+    held = np.bincount(block, minlength=int(blocks.sum()))
+    order = np.argsort(block, kind="stable")
+    full = np.flatnonzero(held)
+    # the SimHash of a block: for every bit, what most of its words say
+    bits = np.unpackbits(own[order].view(np.uint8).reshape(-1, 8), axis=1)
+    votes = np.add.reduceat(bits, np.cumsum(held[full]) - held[full], axis=0, dtype=np.int32)
+    simhash = np.zeros(len(held), np.uint64)
+    simhash[full] = np.packbits(2 * votes > held[full, None], axis=1).view(np.uint64).ravel()
+    of = np.repeat(np.arange(len(n)), blocks)
+    after = np.arange(1, len(held) + 1)
+    after[first + blocks - 1] = first
+    number = (np.arange(len(held)) - first[of] + 1024 * blocks[of]).astype(np.uint64)
+    keys = words.mix(words.mix(simhash, 1) + words.mix(simhash[after], 2) * np.uint64(3) + words.mix(number, 3))
+    enough = held + held[after] >= np.minimum(n, KEY_WORDS)[of]
+    return of[enough], keys[enough].view(np.int64)
+
+
+def _line_keys(hashes: np.ndarray, starts: np.ndarray, n: np.ndarray) -> pa.ListArray:
+    """The keys that every line is filed under."""
+    line, keys = _keys_for(hashes, starts, n, _blocks(n))
+    other = np.flatnonzero(_blocks(n / _LONGER) != _blocks(n))
+    if len(other):
+        also, more = _keys_for(hashes, starts[other], n[other], _blocks(n[other] / _LONGER))
+        line, keys = np.concatenate([line, other[also]]), np.concatenate([keys, more])
+    order = np.argsort(line, kind="stable")
+    ends = np.searchsorted(line[order], np.arange(len(n) + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[order]))
+
+
+def _line_facts(texts: pa.Array, with_keys: bool = False) -> dict[str, np.ndarray | pa.Array]:
+    """Of every line with words: its text, number, two hashes and length, in order, and its keys."""
     data, at = words.text_bytes(texts)
-    found: dict[str, list[np.ndarray]] = {k: [] for k in ("text", "line", "h1", "h2", "simhash", "length")}
+    found: dict[str, list] = {k: [] for k in ("text", "line", "h1", "h2", "length")}
+    keys = [pa.array([], pa.list_(pa.int64()))]
     for first, last in slices(np.diff(at).tolist(), words.BATCH_BYTES):
         part = _LOWER[data[at[first] : at[last]]]
         offsets = at[first : last + 1] - at[first]
@@ -81,48 +130,36 @@ def _line_facts(texts: pa.Array) -> dict[str, np.ndarray]:
             np.cumsum(hashes * words.powers(base, len(hashes)), out=sums[1:])
             raw = (sums[b] - sums[a]) * words.powers(pow(base, -1, 1 << 64), len(hashes))[a]
             found[k].append(words.mix(raw).view(np.int64))
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1)
-        votes = np.add.reduceat(bits, a, axis=0, dtype=np.int32)
-        signs = np.packbits(2 * votes > (b - a)[:, None], axis=1)
-        found["simhash"].append(np.ascontiguousarray(signs).view(np.int64).ravel())
+        if with_keys:
+            keys.append(_line_keys(hashes, a, b - a))
         widths = np.zeros(len(starts) + 1, np.int64)
         np.cumsum(ends - starts, out=widths[1:])
         found["length"].append(widths[b] - widths[a] + (b - a) - 1)
         found["text"].append(text[full] + first)
         found["line"].append(number[full])
-    kinds = {"text": np.int64, "line": np.int64, "length": np.int64}
-    return {k: np.concatenate(v) if v else np.zeros(0, kinds.get(k, np.int64)) for k, v in found.items()}
+    facts = {k: np.concatenate(v) if v else np.zeros(0, np.int64) for k, v in found.items()}
+    return facts | {"keys": pa.concat_arrays(keys)} if with_keys else facts
 
 
-def _lines(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+def _lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The first line of each class in every text (its repeats need no look elsewhere)."""
-    facts = _line_facts(batch.column("text"))
-    if not len(facts["text"]):
-        return None
-    order = np.lexsort((facts["line"], facts["h2"], facts["h1"], facts["text"]))
-    facts = {k: v[order] for k, v in facts.items()}
-    keep = np.ones(len(order), bool)
-    keep[1:] = np.any([facts[k][1:] != facts[k][:-1] for k in ("text", "h1", "h2")], axis=0)
-    facts = {k: v[keep] for k, v in facts.items()}
-    return pa.record_batch({
-        "doc_id": batch.column("doc_id").take(pa.array(facts.pop("text"))),
-        **{k: pa.array(facts[k]) for k in ("line", "h1", "h2", "simhash", "length")},
-    })
-
-
-def block_keys(simhash: Column, length: Column, blocks: int = BLOCKS) -> Column:
-    """Array of the keys a line is filed under."""
-    edges = [64 * i // blocks for i in range(blocks + 1)]
-    step = math.log(_LENGTHS)
-    masked = []
-    for i, chosen in enumerate(combinations(range(blocks), blocks - MOST_BITS)):
-        mask = sum(((1 << (edges[k + 1] - edges[k])) - 1) << edges[k] for k in chosen)
-        mask -= (1 << 64) if mask >= 1 << 63 else 0
-        masked.append((i, simhash.bitwiseAND(F.lit(mask))))
-    own = F.floor(F.log(length) / step)
-    longer = F.floor(F.log(length / SIMILARITY) / step)
-    filed = [F.xxhash64(F.lit(i), bits, size) for size in (own, longer) for i, bits in masked]
-    return F.when(own == longer, F.array(*filed[: len(masked)])).otherwise(F.array(*filed))
+    for whole in batches:
+        sizes = pc.fill_null(pc.binary_length(whole.column("text")), 0).to_pylist()
+        for first, last in slices(sizes, _SLICE_BYTES):
+            batch = whole.slice(first, last - first)
+            facts = _line_facts(batch.column("text"), with_keys=True)
+            keys = facts.pop("keys")
+            if not len(keys):
+                continue
+            order = np.lexsort((facts["line"], facts["h2"], facts["h1"], facts["text"]))
+            new = np.ones(len(order), bool)
+            new[1:] = np.any([facts[k][order][1:] != facts[k][order][:-1] for k in ("text", "h1", "h2")], axis=0)
+            order = order[new]
+            yield pa.record_batch({
+                "doc_id": batch.column("doc_id").take(pa.array(facts["text"][order])),
+                **{k: pa.array(facts[k][order]) for k in ("line", "h1", "h2", "length")},
+                "keys": keys.take(pa.array(order)),
+            })
 
 
 def edit_distance(a: str, b: str) -> int:
@@ -159,21 +196,29 @@ def similar(a: str, b: str) -> bool:
     return min(len(a), len(b)) >= SIMILARITY * longer and edit_distance(a, b) <= (1 - SIMILARITY) * longer + 1e-9
 
 
-def _checked(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+def _class_texts(ids: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(h1, value): one line of each class in ``ids``, as it stands in the text."""
+    places = settings.written(ids.join(classes.select("h1", "doc_id", "line"), "h1"), "line-ids")
+    lists = places.groupBy(F.col("doc_id").alias("#doc")).agg(F.collect_list(F.struct("line", "h1")).alias("#wanted"))
+    held = docs.select("doc_id", "text").join(lists, F.col("doc_id") == F.col("#doc"))
+    rows = F.split("text", "\n")
+    found = F.transform("#wanted", lambda w: F.struct(w["h1"].alias("h1"), F.get(rows, w["line"].cast("int")).alias("value")))
+    lines = held.select(F.inline(found)).where("value IS NOT NULL")
+
+    def own(batch: pa.RecordBatch) -> pa.RecordBatch:
+        # several texts may share an id: of these, the one that holds the line
+        facts = _line_facts(batch.column("value"))
+        hashes = np.zeros(batch.num_rows, np.int64)
+        hashes[facts["text"]] = facts["h1"]
+        return batch.filter(pa.array(hashes == batch.column("h1").to_numpy()))
+
+    lines = map_batches(lines, own, lines.schema)
+    return settings.written(lines.groupBy("h1").agg(F.min("value").alias("value")), "line-texts")
+
+
+def _checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (u, v) of classes whose lines are similar enough, written down."""
-    pairs = settings.written(pairs, "line-pairs")
-    ids = settings.written(
-        pairs.select(F.col("u").alias("h1")).union(pairs.select("v")).distinct()
-        .join(classes.select("h1", "doc_id", "line"), "h1"), "line-ids",
-    )
-    wanted = settings.small_side(settings.written(ids.select("doc_id").distinct(), "line-docs"))
-    held = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
-    lines = held.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "value"))
-    found = settings.written(
-        lines.join(settings.small_side(ids), ["doc_id", "line"]).select("h1", "value")
-        .groupBy("h1").agg(F.min("value").alias("value")), "line-texts",
-    )
-    joined = pairs.join(found.toDF("u", "value_u"), "u").join(found.toDF("v", "value_v"), "v")
+    joined = pairs.join(texts.toDF("u", "value_u"), "u").join(texts.toDF("v", "value_v"), "v")
 
     def check(batch: pa.RecordBatch) -> pa.RecordBatch:
         both = zip(batch.column("value_u").to_pylist(), batch.column("value_v").to_pylist(), strict=True)
@@ -182,40 +227,38 @@ def _checked(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
     return settings.written(map_batches(joined, check, "u long, v long"), "line-links")
 
 
-def _links(classes: DataFrame, docs: DataFrame, blocks: int) -> DataFrame:
-    """Links (u, v) between classes, by h1, that span every component."""
-    keys = settings.unfolded(
-        classes.select("h1", "simhash", block_keys(F.col("simhash"), F.col("length"), blocks).alias("keys")),
-        "keys", "key",
-    ).select("key", "h1", "simhash")
+def _links(lines: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (u, v) between classes, by h1, that span every component of lines that share keys."""
+    keys = settings.unfolded(lines.select("h1", "length", "keys"), "keys", "key").select("key", "h1", "length")
     shared = keys.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a < b").select("key")
     shared = settings.small_side(settings.written(shared, "line-keys"), 500_000)
-    buckets = settings.written(keys.join(shared, "key"), "line-buckets")
-    near = F.bit_count(F.col("simhash").bitwiseXOR(F.col("s"))) <= MOST_BITS
+    buckets = settings.written(keys.join(shared, "key").distinct(), "line-buckets")
+    texts = _class_texts(buckets.select("h1").distinct(), classes, docs)
+    near = F.least("length", "l") >= SIMILARITY * F.greatest("length", "l")
 
-    led = buckets.groupBy("key").agg(F.min("h1").alias("v"), F.min_by("simhash", "h1").alias("s"))
-    pairs = buckets.join(led, (buckets.key == led.key) & near).where("h1 <> v").select(F.col("h1").alias("u"), "v")
-    links = _checked(pairs.distinct(), classes, docs)
+    led = buckets.groupBy("key").agg(F.min("h1").alias("v"), F.min_by("length", "h1").alias("l"))
+    pairs = buckets.join(led, "key").where(near & (F.col("h1") != F.col("v"))).select(F.col("h1").alias("u"), "v")
+    links = _checked(pairs.distinct(), texts)
 
     labels = components(links).withColumnRenamed("node", "h1")
-    now = buckets.join(labels, "h1", "left").select("key", "h1", "simhash", F.coalesce("component", "h1").alias("label"))
+    now = buckets.join(labels, "h1", "left").select("key", "h1", "length", F.coalesce("component", "h1").alias("label"))
     first = now.groupBy("key").agg(F.min_by("label", "h1").alias("of"))
     apart = now.join(first, "key").where("label <> of")
-    apart = apart.select(F.col("key").alias("k"), F.col("h1").alias("v"), F.col("simhash").alias("s"), F.col("label").alias("of"))
-    pairs = now.join(apart, (now.key == apart.k) & (F.col("label") != F.col("of")) & near)
+    apart = apart.select("key", F.col("h1").alias("v"), F.col("length").alias("l"), F.col("label").alias("of"))
+    pairs = now.join(apart, "key").where(near & (F.col("label") != F.col("of")))
     pairs = pairs.select(F.greatest("h1", "v").alias("u"), F.least("h1", "v").alias("v")).distinct()
-    return links.unionByName(_checked(pairs, classes, docs))
+    return links.unionByName(_checked(pairs, texts))
 
 
 def line_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", blocks: int = BLOCKS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """doc_id, text, n_lines, n_dropped for every row of ``docs``; see ``without_repeats``."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return without_repeats(docs, blocks=blocks)
+    return without_repeats(docs)
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", blocks: int = BLOCKS) -> DataFrame:
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` with repeated lines cut from the text, and n_lines and n_dropped.
 
     Lines end at a line feed.  Of every connected group of lines the first occurrence
@@ -229,16 +272,14 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kind = plain_docs.schema["doc_id"].dataType.simpleString()
     held = plain_docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
     lines = settings.written(
-        map_batches(held, _lines, f"doc_id {kind}, line long, h1 long, h2 long, simhash long, length long"),
-        "lines",
+        held.mapInArrow(_lines, f"doc_id {kind}, line long, h1 long, h2 long, length long, keys array<long>"), "lines"
     )
     classes = settings.written(
         lines.groupBy("h1", "h2").agg(
             F.min("doc_id").alias("doc_id"), F.min_by("line", "doc_id").alias("line"), F.count("*").alias("n"),
-            F.first("simhash").alias("simhash"), F.first("length").alias("length"),
         ), "line-classes",
     )
-    labels = components(_links(classes, held, blocks)).withColumnRenamed("node", "h1")
+    labels = components(_links(lines, classes, held)).withColumnRenamed("node", "h1")
     # classes that do not hold the kept occurrence of their group
     grouped = classes.join(labels, "h1", "left").withColumn("component", F.coalesce("component", "h1"))
     linked = settings.written(
