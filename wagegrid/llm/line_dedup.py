@@ -9,8 +9,8 @@ A line's SimHash has one block of 64 bits for every ``BLOCK_WORDS`` words or so,
 ``LEAST_BLOCKS``; a word votes in the block its hash names.  A changed word touches two
 blocks at most, so that a line whose changes touch less than half of its blocks keeps two
 neighbouring blocks as they were (the last block neighbours the first).  A class is filed
-under every pair of neighbouring blocks.  The number of blocks doubles with the length; a line
-near the edge is filed for both numbers.  In a bucket, classes are compared with one leader;
+under every pair of neighbouring blocks.  The number of blocks grows with the length, in steps
+of about 1.4; a line near the edge is filed for both numbers.  In a bucket, classes are compared with one leader;
 only those that did not join the leader's component meet the others as well.
 """
 
@@ -31,9 +31,10 @@ from wagegrid.llm.graph import components
 
 #: Words for each block of the SimHash, and fewest blocks.
 BLOCK_WORDS = 4
-LEAST_BLOCKS = 5
-#: Words that two neighbouring blocks must hold to be a key (all, of a shorter line).
-KEY_WORDS = 3
+LEAST_BLOCKS = 8
+#: Words that two neighbouring blocks must hold to be a key: two of a line of less than
+#: ``SHORT`` words (or its only one), three of a longer line.
+KEY_WORDS, SHORT = 3, 10
 #: Least edit similarity of linked lines.
 SIMILARITY = 0.9
 #: A line is filed for its own number of words and for one that is longer by so much.
@@ -57,8 +58,8 @@ def plain(line: str) -> str:
 
 def _blocks(n: np.ndarray) -> np.ndarray:
     """Blocks of the SimHash of lines with ``n`` words."""
-    doubled = 1 << np.floor(np.log2(np.maximum(n / BLOCK_WORDS, 1))).astype(np.int64)
-    return np.maximum(LEAST_BLOCKS, doubled)
+    step = np.floor(2 * np.log2(np.maximum(n / BLOCK_WORDS, 1)))
+    return np.maximum(LEAST_BLOCKS, np.floor(2 ** (step / 2)).astype(np.int64))
 
 
 def _keys_for(hashes: np.ndarray, starts: np.ndarray, n: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -80,7 +81,7 @@ def _keys_for(hashes: np.ndarray, starts: np.ndarray, n: np.ndarray, blocks: np.
     after[first + blocks - 1] = first
     number = (np.arange(len(held)) - first[of] + 1024 * blocks[of]).astype(np.uint64)
     keys = words.mix(words.mix(simhash, 1) + words.mix(simhash[after], 2) * np.uint64(3) + words.mix(number, 3))
-    enough = held + held[after] >= np.minimum(n, KEY_WORDS)[of]
+    enough = held + held[after] >= np.minimum(n, KEY_WORDS - (n < SHORT))[of]
     return of[enough], keys[enough].view(np.int64)
 
 
