@@ -8,7 +8,17 @@ import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
-from wagegrid.operators import features, models, positions, stages, stats
+from wagegrid.operators import (
+    boosting,
+    dictionaries,
+    features,
+    models,
+    neural,
+    positions,
+    sparse_rows,
+    stages,
+    stats,
+)
 
 
 @pytest.fixture(scope="module")
@@ -44,6 +54,46 @@ def test_one_hot(spark):
     assert features.distinct_values(df, "c") == ["a", "b"]
 
 
+def test_one_hot_names_and_bounds(spark, monkeypatch):
+    df = spark.createDataFrame([("c",), ("x",), ("C",)], "c string")
+    made = features.one_hot(df, "c")
+    assert made.columns == ["c", "c=C", "c=c", "x"]
+    assert [tuple(r) for r in made.collect()] == [("c", 0, 1, 0), ("x", 0, 0, 1), ("C", 1, 0, 0)]
+    monkeypatch.setattr(features, "MOST_COLUMNS", 2)
+    with pytest.raises(ValueError, match="one_hot_stages"):
+        features.one_hot(df, "c")
+
+
+def test_missing_numbers_are_not_above(spark):
+    rows = [(float("nan"),), (None,), (1.0,), (2.0,), (3.0,), (float("inf"),)]
+    df = spark.createDataFrame(rows, "`a b` double")
+    assert [r["Above Median"] for r in features.above_median(df, "a b").collect()] == [0, 0, 0, 0, 1, 1]
+
+
+@pytest.mark.parametrize("broadcast", [1_000_000, 0])
+def test_dictionary_of_many_values(spark, monkeypatch, tmp_path, broadcast):
+    monkeypatch.setattr("wagegrid.settings.BROADCAST_ROWS", broadcast)
+    rows = spark.range(4000).selectExpr("id", "if(id % 3 = 0, 'hot', format_string('v%04d', id % 700)) as c").unionByName(
+        spark.createDataFrame([(-1, None), (-2, "")], "id long, c string")
+    )
+    path, size = dictionaries.dictionary(rows, "c", rows_per_slice=100)
+    values = sorted({r.c for r in rows.collect() if r.c is not None})
+    table = dictionaries.read_dictionary(spark, path)
+    assert size == len(values) and sorted((r.number, r.value) for r in table.collect()) == list(enumerate(values))
+
+    model = dictionaries.OneHotDictionary("c", "v").fit(rows)
+    model.write().overwrite().save(str(tmp_path / "m"))
+    again = dictionaries.OneHotDictionaryModel.load(str(tmp_path / "m"))
+    other = rows.unionByName(spark.createDataFrame([(-3, "unknown")], "id long, c string"))
+    for made in (model.transform(other), again.transform(other)):
+        found = {r.id: (r.c, r.v.size, list(r.v.indices), list(r.v.values)) for r in made.collect()}
+        assert len(found) == 4003 and made.columns == ["id", "c", "v"]
+        assert all(n == size and (i, w) == (([values.index(c)], [1.0]) if c in values else ([], [])) for c, n, i, w in found.values())
+    assert model.transform(rows.limit(0)).count() == 0
+    empty = dictionaries.OneHotDictionary("c", "v").fit(rows.where("id < -9"))
+    assert {r.v.size for r in empty.transform(rows).collect()} == {0}
+
+
 def test_missing_texts_have_no_words(spark):
     rows = [("Data analyst", "we use data", "A", "X"), (None, None, None, None), ("Data analyst", None, "B", "Y")] * 3
     df = spark.createDataFrame(rows, ["Title", "Synopsis", "City", "State Initials"])
@@ -74,9 +124,9 @@ def test_names_fit_vectors(postings, feature_set):
     "maker",
     [
         models.logistic(), models.logistic(elastic_net=1.0), models.linear_svm(),
-        models.rbf_svm(features=64), models.random_forest(trees=10),
+        models.rbf_svm(features=32), models.random_forest(trees=10),
         models.gradient_boosting(rounds=3), models.boosted_trees(rounds=3),
-        models.neural_net(hidden=8, rate=0.5, max_iter=60),
+        models.neural_net(hidden=8, rate=0.1, max_iter=25), models.rbf_svm(features=64, landmarks=False),
     ],
 )
 def test_models_beat_the_baseline(training, maker):
@@ -149,3 +199,116 @@ def test_fourier_features_are_near_the_kernel(spark):
         for j in range(12):
             kernel = math.exp(-0.3 * float(np.sum((points[i] - points[j]) ** 2)))
             assert abs(float(z[i] @ z[j]) - kernel) < 0.12
+
+
+def _mixed_rows(spark, n=300):
+    """Rows of sparse and dense vectors with small counts, negative numbers and zeros; noisy labels."""
+    from pyspark.ml.linalg import Vectors
+
+    draw = np.random.default_rng(11)
+    x = draw.poisson(0.7, (n, 5)) * draw.choice([1.0, 1.0, -1.5], (n, 5))
+    x[:, 4] = draw.normal(size=n).round(2)
+    y = ((x[:, 0] + 0.5 * x[:, 4] - x[:, 2] + draw.normal(0, 0.7, n)) > 0).astype(float)
+    rows = [
+        (i, float(y[i]), Vectors.dense(x[i]) if i % 3 else Vectors.sparse(5, [(j, v) for j, v in enumerate(x[i]) if v]))
+        for i in range(n)
+    ]
+    return x, y, spark.createDataFrame(rows, ["id", "label", "features"]).repartition(4)
+
+
+def _plain_trees(x, y, edges, rounds, rate, depth, penalty, least):
+    """Boosting on dense arrays: log odds after all rounds."""
+    odds = np.zeros(len(y))
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-odds))
+        g, h = p - y, p * (1 - p)
+
+        def grow(rows, left_levels):
+            G, H = g[rows].sum(), h[rows].sum()  # noqa: N806
+            best = (0.0, None)
+            for place in sorted(edges) if left_levels else ():
+                for cut in edges[place]:
+                    low = x[rows, place] <= cut
+                    gl, hl = g[rows][low].sum(), h[rows][low].sum()
+                    gain = gl**2 / (hl + penalty) + (G - gl) ** 2 / (H - hl + penalty) - G**2 / (H + penalty)  # noqa: B023
+                    if hl >= least and H - hl >= least and round(gain, 9) > best[0]:
+                        best = (round(gain, 9), rows[low], rows[~low])
+            if best[1] is None:
+                odds[rows] -= rate * G / (H + penalty)
+            else:
+                grow(best[1], left_levels - 1)
+                grow(best[2], left_levels - 1)
+
+        grow(np.arange(len(y)), depth)
+    return odds
+
+
+def test_second_order_trees_equal_plain_ones(spark, tmp_path):
+    x, y, rows = _mixed_rows(spark)
+    stage = boosting.SecondOrderTrees(rounds=11, rate=0.3, maxDepth=3, penalty=1.0, leastCurvature=1.0)
+    model = stage.fit(rows)
+    edges = boosting.feature_edges(rows.select(sparse_rows.held("features").alias("v")), "v")
+    assert set(edges) == set(range(5)) and all(len(c) <= boosting.BINS and 0.0 in c for c in edges.values())
+    want = _plain_trees(x, y, edges, 11, 0.3, 3, 1.0, 1.0)
+    found = {r.id: r.prediction for r in model.transform(rows).collect()}
+    assert [found[i] for i in range(300)] == (want > 0).astype(float).tolist()
+    import json
+
+    trees = json.loads(model.getOrDefault(model.trees))
+    dense = sparse_rows.Rows(np.tile(np.arange(5), 300), x.ravel(), np.arange(0, 1501, 5))
+    assert np.allclose(boosting.margins(dense, trees), want)
+    model.write().overwrite().save(str(tmp_path / "t"))
+    again = boosting.TreesModel.load(str(tmp_path / "t"))
+    assert {r.id: r.prediction for r in again.transform(rows).collect()} == found
+
+
+def test_gradient_of_the_net(spark):
+    x, y, rows = _mixed_rows(spark, 40)
+    drawn = neural.Layers.drawn(5, 7, 3).weights
+    layers = neural.Layers(drawn + np.random.default_rng(1).normal(0, 0.1, len(drawn)), 5, 7)
+    held = rows.selectExpr("label", "features").select("label", sparse_rows.held("features").alias("v"))
+    gradient, loss = neural.summed_gradient(held, layers)
+    plain = sparse_rows.Rows(np.tile(np.arange(5), 40), x.ravel(), np.arange(0, 201, 5))
+    assert math.isclose(loss, layers.gradient(plain, y)[1])
+    for i in range(len(layers.weights)):
+        moved = layers.weights.copy()
+        moved[i] += 1e-6
+        slope = (neural.Layers(moved, 5, 7).gradient(plain, y)[1] - loss) / 1e-6
+        assert abs(slope - gradient[i]) < 1e-3 * max(1, abs(slope))
+
+
+def test_net_learns_what_no_line_parts(spark, tmp_path):
+    from pyspark.ml.linalg import Vectors
+
+    draw = np.random.default_rng(2)
+    x = draw.uniform(-1, 1, (240, 2))
+    rows = spark.createDataFrame([(float(a * b > 0), Vectors.dense([a, b])) for a, b in x], ["label", "features"]).repartition(3)
+    model = neural.RectifiedNet(numInputs=2, hidden=16, rate=0.08, maxIter=60).fit(rows)
+    model.write().overwrite().save(str(tmp_path / "n"))
+    found = neural.RectifiedNetModel.load(str(tmp_path / "n")).transform(rows)
+    assert found.where("prediction = label").count() >= 0.95 * 240
+    assert neural.RectifiedNet(numInputs=2, hidden=3, maxIter=2).fit(rows.limit(0)).transform(rows).count() == 240
+
+
+def test_landmark_features_are_nearer_to_the_kernel(spark, tmp_path):
+    from pyspark.ml.linalg import Vectors
+
+    draw = np.random.default_rng(5)
+    middles = draw.normal(size=(6, 4))
+    points = [middles[i % 6] + draw.normal(0, 0.3, 4) for i in range(120)]
+    df = spark.createDataFrame([
+        (i, Vectors.dense(p) if i % 2 else Vectors.sparse(4, list(range(4)), p)) for i, p in enumerate(points)
+    ], ["id", "features"]).repartition(3)
+    model = stages.NystroemFeatures(landmarks=24, gamma=0.3).fit(df)
+    model.write().overwrite().save(str(tmp_path / "l"))
+    lifts = {
+        "landmarks": stages.NystroemModel.load(str(tmp_path / "l")),
+        "random": stages.FourierFeatures(numInputs=4, numOutputs=24, gamma=0.3, outputCol="landmark_features"),
+    }
+    error = {}
+    for name, lift in lifts.items():
+        z = {r.id: r.landmark_features.toArray() for r in lift.transform(df).collect()}
+        near = [[float(z[i] @ z[j]) for j in range(120)] for i in range(120)]
+        kernel = [[math.exp(-0.3 * float(np.sum((a - b) ** 2))) for b in points] for a in points]
+        error[name] = float(np.abs(np.array(near) - np.array(kernel)).mean())
+    assert error["landmarks"] < 0.03 < error["random"]

@@ -1,8 +1,10 @@
 """Words, counts inside rows, vocabularies and weights."""
 
 import math
+import random
 from collections import Counter
 
+import pyarrow as pa
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.ml.feature import IDF, CountVectorizer, StopWordsRemover
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from wagegrid import fixed_values
 from wagegrid.functions import words
-from wagegrid.operators import terms
+from wagegrid.operators import frequent, terms
 
 
 def test_stop_words_are_sparks(spark):
@@ -72,3 +74,40 @@ def test_missing_texts_and_words(spark):
     assert [r.words for r in cut.collect()] == [None, ["the", "cat", "", "sat"], [""]]
     kept = words.remove_stop_words(cut.withColumn("words", F.array_append("words", F.lit(None).cast("string"))))
     assert [r.kept for r in kept.collect()] == [None, ["cat", "", "sat"], [""]]
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.sampled_from("abcdefghij") | st.none(), max_size=14), min_size=1, max_size=9),
+       st.integers(1, 4), st.integers(1, 5), st.integers(1, 3))
+def test_bounded_summaries_find_the_same_terms(spark, rows, capacity, n, min_rows):
+    df = spark.createDataFrame(list(enumerate(rows)), "id int, words array<string>").repartition(3)
+    uses = Counter(t for row in rows for t in row if t)
+    in_rows = Counter(t for row in rows for t in set(row) if t)
+    want = sorted((-uses[t], t, in_rows[t]) for t in uses if in_rows[t] >= min_rows)[:n]
+    found = terms.top_terms(df, n=n, min_rows=min_rows, rows_too=True, capacity=capacity)
+    assert [(-r.n, r.term, r.n_rows) for r in found.collect()] == want
+
+
+def test_bounds_of_summaries():
+    draw = random.Random(2)
+    words = [f"w{int(draw.paretovariate(0.9))}" for _ in range(20_000)]
+    batches = [pa.record_batch({"w": pa.array([words[i : i + 50] for i in range(at, at + 1000, 50)])}) for at in range(0, 20_000, 1000)]
+    (out,) = frequent._summary(60)(batches)
+    rows, uses = out.to_pylist(), Counter(words)
+    lost = rows[-1]["lost"]
+    assert len(rows) <= 61 and 0 < lost < 20_000 / 60
+    low = {r["term"]: r["n"] for r in rows[:-1]}
+    assert all(low.get(t, 0) <= n <= low.get(t, 0) + lost for t, n in uses.items())
+
+
+def test_counts_in_rows_are_not_shuffled(spark):
+    df = spark.createDataFrame([(i % 2, ["a", "b", "a", None, "z"]) for i in range(6)], "id int, words array<string>")
+    for made in (terms.term_counts(df, "id", size=2), terms.bucket_counts(df, "id")):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "Join" not in plan
+    assert sorted(map(tuple, terms.term_counts(df, "id", size=2, min_rows=1).collect()))[:2] == [(0, "a", 2), (0, "a", 2)]
+    weighed = terms.tfidf(df, "id", size=2)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in weighed
+    many = terms.term_counts(df, "id", size=terms.LISTED_TERMS + 1)
+    assert sorted(map(tuple, many.collect())) == sorted(map(tuple, terms.term_counts(df, "id", size=9).collect()))
+    assert sum(r.n for r in terms.bucket_counts(df, "id").collect()) == 24

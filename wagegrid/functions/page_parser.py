@@ -39,51 +39,65 @@ def _is(tag: str, attrs: dict, want: Iterable) -> bool:
     return attribute == "class" and value in found.split()
 
 
+class _Card:
+    """A record that is open: the fields it still lacks, and those being read."""
+
+    __slots__ = ("record", "lacking", "taking")
+
+    def __init__(self, fields: Iterable[str]):
+        self.record: dict[str, str | None] = {}
+        self.lacking = set(fields)
+        self.taking: dict[str, tuple[str, list[str]]] = {}
+
+
 class _Walk(HTMLParser):
-    """Collects one record per card (or one per page when no card is asked for)."""
+    """Collects one record per card (or one per page when no card is asked for).
+
+    What stands in a card belongs to the innermost one that is open, so that every piece of
+    a page is read for one card only, however many are left open.
+    """
 
     def __init__(self, cards: list[Want] | None, fields: dict[str, Field]):
         super().__init__(convert_charrefs=True)
         self.cards, self.fields = cards, fields
         self.records: list[dict] = []
         self.open: Counter[str] = Counter()  # open elements by tag
-        # open records that still lack a field, so that a record costs nothing once it has it
-        self.lacking: dict[str, dict[int, dict]] = {name: {} for name in fields}
         self.path: list[tuple[str, list]] = []  # open elements and what ends with them
-        self.taking: list[tuple[dict, str, str, list]] = []  # fields being read
+        self.nested: list[_Card] = []  # open cards, the innermost last
         self.unseen = 0
         if cards is None:
-            self._open_record(None)
+            self._open_card()
 
-    def _open_record(self, ends: list | None) -> None:
-        record: dict = {}
-        self.records.append(record)
-        for lacking in self.lacking.values():
-            lacking[id(record)] = record
-        if ends is not None:
-            ends.append(record)
+    def _open_card(self) -> _Card:
+        card = _Card(self.fields)
+        self.records.append(card.record)
+        self.nested.append(card)
+        return card
+
+    def _add_markup(self, text: str) -> None:
+        if self.nested:
+            for take, parts in self.nested[-1].taking.values():
+                if take == "html":
+                    parts.append(text)
 
     def _start(self, tag: str, pairs: list, closes_at_once: bool) -> None:
         attrs = {name: value for name, value in reversed(pairs)}
         raw, ends = self.get_starttag_text() or "", []
-        for reading in self.taking:
-            if reading[2] == "html":
-                reading[3].append(raw)
-        for name, field in self.fields.items():
-            if not self.lacking[name] or not _is(tag, attrs, field):
-                continue
-            take = field[3]
-            for record in self.lacking[name].values():
+        is_card = self.cards is not None and any(_is(tag, attrs, card) for card in self.cards)
+        if not is_card:
+            self._add_markup(raw)
+        if self.nested:
+            card = self.nested[-1]
+            for name in [n for n in self.fields if n in card.lacking and _is(tag, attrs, self.fields[n])]:
+                card.lacking.discard(name)
+                take = self.fields[name][3]
                 if take in ("text", "html"):
-                    record[name] = None
-                    reading = (record, name, take, [raw] if take == "html" else [])
-                    self.taking.append(reading)
-                    ends.append(reading)
+                    card.taking[name] = (take, [raw] if take == "html" else [])
+                    ends.append((card, name))
                 else:
-                    record[name] = attrs.get(take)
-            self.lacking[name].clear()
-        if self.cards is not None and any(_is(tag, attrs, card) for card in self.cards):
-            self._open_record(ends)
+                    card.record[name] = attrs.get(take)
+        if is_card:
+            ends.append((self._open_card(), None))
         self.path.append((tag, ends))
         self.open[tag] += 1
         if tag in ("script", "style"):
@@ -96,17 +110,13 @@ class _Walk(HTMLParser):
         self.open[tag] -= 1
         if tag in ("script", "style"):
             self.unseen -= 1
-        if write_end:
-            for reading in self.taking:
-                if reading[2] == "html":
-                    reading[3].append(f"</{tag}>")
-        for end in ends:
-            if isinstance(end, dict):
-                for lacking in self.lacking.values():
-                    lacking.pop(id(end), None)
+        if write_end and not any(name is None for _, name in ends):
+            self._add_markup(f"</{tag}>")
+        for card, name in reversed(ends):
+            if name is None:
+                self.nested.pop()
             else:
-                end[0][end[1]] = "".join(end[3])
-                self.taking = [r for r in self.taking if r is not end]
+                card.record[name] = "".join(card.taking.pop(name)[1])
 
     def handle_starttag(self, tag, attrs):
         self._start(tag, attrs, tag in _VOID)
@@ -121,16 +131,15 @@ class _Walk(HTMLParser):
             self._close()
 
     def handle_data(self, data):
-        for _, _, take, parts in self.taking:
-            if take == "html":
-                parts.append(data if self.unseen else html_entities.escape(data, quote=False))
-            elif not self.unseen:
-                parts.append(data)
+        if self.nested:
+            for take, parts in self.nested[-1].taking.values():
+                if take == "html":
+                    parts.append(data if self.unseen else html_entities.escape(data, quote=False))
+                elif not self.unseen:
+                    parts.append(data)
 
     def handle_comment(self, data):
-        for _, _, take, parts in self.taking:
-            if take == "html":
-                parts.append(f"<!--{data}-->")
+        self._add_markup(f"<!--{data}-->")
 
     def finish(self) -> list[dict]:
         self.close()

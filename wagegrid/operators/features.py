@@ -2,24 +2,24 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     CountVectorizerModel,
     NGram,
-    OneHotEncoder,
     RegexTokenizer,
     SQLTransformer,
     StopWordsRemover,
-    StringIndexer,
-    StringIndexerModel,
     VectorAssembler,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wagegrid import fixed_values
 from wagegrid.functions.flags import flag
 from wagegrid.functions.words import WORD
+from wagegrid.operators.dictionaries import OneHotDictionary, OneHotDictionaryModel
 from wagegrid.operators.quantiles import quantile_value
 from wagegrid.operators.stages import TitleFlags
 from wagegrid.operators.terms import top_terms
@@ -30,44 +30,54 @@ def above_median(
 ) -> DataFrame:
     """1 when the value is above the median (or another quantile), else 0.
 
-    The quantile is one value computed once and compared in each row.
+    The quantile is one value computed once and compared in each row.  A missing value, be
+    it null or NaN, is 0 and has no part in the quantile.
     """
     middle = quantile_value(df, column, q).scalar()
-    return df.withColumn(name, F.when(F.col(column) > middle, 1).otherwise(0))
+    value = F.col(f"`{column}`").cast("double")
+    return df.withColumn(name, F.when((value > middle) & ~F.isnan(value), 1).otherwise(0))
+
+
+#: Most columns that ``one_hot`` makes.
+MOST_COLUMNS = 10_000
 
 
 def distinct_values(df: DataFrame, column: str) -> list[str]:
-    """Sorted values of a column, as names of columns to make: one text per column."""
-    found = df.select(column).where(F.col(column).isNotNull()).distinct()
-    return sorted(row[0] for row in found.collect())
+    """Sorted values of a column, as names of columns to make: one text per column.
+
+    A column of more than ``MOST_COLUMNS`` values is refused before they are brought together.
+    """
+    found = df.select(F.col(f"`{column}`").alias("v")).where("v IS NOT NULL").distinct()
+    values = found.limit(MOST_COLUMNS + 1).collect()
+    if len(values) > MOST_COLUMNS:
+        raise ValueError(f"{column} has more than {MOST_COLUMNS} values: use one_hot_stages")
+    return sorted(row[0] for row in values)
 
 
 def one_hot(df: DataFrame, column: str, values: list | None = None) -> DataFrame:
     """One 0/1 column per value in sorted order, none left out; missing is 0 in all.
 
     The list of values is a parameter of the result (as in a pivot); each row
-    is then widened where it is, without a shuffle.  For a column with very many values
+    is then widened where it is, without a shuffle.  A value that is named like a column of
+    ``df`` gives a column ``column=value``.  For a column with very many values
     ``one_hot_stages`` makes one sparse vector instead.
     """
     listed = distinct_values(df, column) if values is None else values
-    flags = [
-        F.coalesce((F.col(column) == v).cast("int"), F.lit(0)).alias(str(v)) for v in listed
-    ]
+    taken = {c.lower() for c in df.columns}
+    flags = []
+    for v in listed:
+        name = f"{column}={v}" if str(v).lower() in taken else str(v)
+        taken.add(name.lower())
+        flags.append(F.coalesce((F.col(f"`{column}`") == v).cast("int"), F.lit(0)).alias(name))
     return df.select("*", *flags)
 
 
 def one_hot_stages(column: str, out: str) -> list:
-    """The same as a sparse vector, for any number of values.
+    """The same as a sparse vector, for any number of values: they stay in a table.
 
-    The slot left out is the one of unknown values, so missing is all 0 and
-    every value of the fitted rows keeps a place.
+    Missing and unknown values are all 0 and every value of the fitted rows has a place.
     """
-    index = f"{out}_index"
-    return [
-        StringIndexer(inputCol=column, outputCol=index,
-                      stringOrderType="alphabetAsc", handleInvalid="keep"),
-        OneHotEncoder(inputCol=index, outputCol=out, dropLast=True),
-    ]
+    return [OneHotDictionary(column, out)]
 
 
 def title_flags(
@@ -117,6 +127,9 @@ FEATURE_SETS = {
     "flags": ("city", "flags", "state"),
     "titles": ("title_terms", "city", "state"),
     "synopses": ("title_terms", "city", "state", "synopsis_terms"),
+    # for weights of one block alone
+    "title_terms": ("title_terms",),
+    "states": ("state",),
 }
 
 
@@ -156,21 +169,39 @@ def assemble(df: DataFrame, feature_set: str, **options) -> PipelineModel:
     return Pipeline(stages=feature_stages(df, feature_set, **options)).fit(df)
 
 
+def feature_table(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    """``place``, ``name``: the places of ``features``, block by block, as a table.
+
+    Names of places come from their dictionary and never pass through the driver.
+    """
+    blocks = model.stages[-1].getInputCols()
+    made = {s.getOutputCol(): s for s in model.stages if not isinstance(s, SQLTransformer)}
+    tables, first = [], 0
+    for block in blocks:
+        stage = made[block]
+        if isinstance(stage, OneHotDictionaryModel):
+            names, size = stage.table(), stage.getOrDefault(stage.size)
+        else:
+            terms = stage.vocabulary if isinstance(stage, CountVectorizerModel) else stage.getOrDefault(stage.words)
+            names, size = spark.createDataFrame(list(enumerate(terms)), "number long, value string"), len(terms)
+        tables.append(names.select(
+            (F.col("number") + first).alias("place"), F.concat(F.lit(f"{block}="), F.col("value")).alias("name")
+        ))
+        first += size
+    return reduce(DataFrame.unionByName, tables)
+
+
 def feature_names(model: PipelineModel) -> list[str]:
-    """Names of the places of ``features``, block by block."""
-    names: dict[str, list[str]] = {}
-    indexed: dict[str, list[str]] = {}
-    for stage in model.stages:
-        if isinstance(stage, SQLTransformer):
-            continue
-        if isinstance(stage, StringIndexerModel):
-            indexed[stage.getOutputCol()] = stage.labels
-        elif isinstance(stage, CountVectorizerModel):
-            names[stage.getOutputCol()] = stage.vocabulary
-        elif hasattr(stage, "words"):
-            names[stage.getOutputCol()] = stage.getOrDefault(stage.words)
-        elif isinstance(stage, VectorAssembler):
-            blocks = stage.getInputCols()
-        elif f"{stage.getOutputCol()}_index" in indexed:
-            names[stage.getOutputCol()] = indexed[f"{stage.getOutputCol()}_index"]
-    return [f"{block}={name}" for block in blocks for name in names[block]]
+    """Names of the places of ``features`` as a list, for sets whose weights are a list too."""
+    found = feature_table(SparkSession.active(), model)
+    return [r.name for r in found.orderBy("place").collect()]
+
+
+def named_features(rows: DataFrame, model: PipelineModel, *keep: str) -> DataFrame:
+    """``keep``, ``feature``, ``value``: what is not 0 in ``features``, by name."""
+    names = feature_table(rows.sparkSession, model)
+    held = rows.select(*keep, F.unwrap_udt("features").alias("v"))
+    dense = F.col("v.indices").isNull()
+    places = F.when(dense, F.sequence(F.lit(0), F.size("v.values") - 1)).otherwise(F.col("v.indices"))
+    used = held.select(*keep, F.inline(F.arrays_zip(places.alias("place"), F.col("v.values").alias("value"))))
+    return used.where("value <> 0").join(names, "place").select(*keep, F.col("name").alias("feature"), "value")

@@ -12,7 +12,6 @@ from pyspark.ml.classification import (
     GBTClassifier,
     LinearSVC,
     LogisticRegression,
-    MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
 from pyspark.sql import DataFrame
@@ -20,15 +19,18 @@ from pyspark.sql import functions as F
 
 from wagegrid import fixed_values, settings
 from wagegrid.operators import stats
-from wagegrid.operators.stages import FourierFeatures
+from wagegrid.operators.boosting import SecondOrderTrees
+from wagegrid.operators.neural import RectifiedNet
+from wagegrid.operators.stages import FourierFeatures, NystroemFeatures
 
 #: (rows to train on, places of the feature vector) -> estimator
 Maker = Callable[[int, int], Estimator]
 
 
 def random_forest(
-    trees: int = fixed_values.TREES, max_depth: int = 10, seed: int = 0, **options
+    trees: int = fixed_values.TREES, max_depth: int = 30, seed: int = 0, **options
 ) -> Maker:
+    """Trees grown as deep as Spark lets them, near enough to growing them out."""
     return lambda n, d: RandomForestClassifier(
         numTrees=trees, maxDepth=max_depth, seed=seed, **options
     )
@@ -49,15 +51,21 @@ def linear_svm(c: float = 1.0, max_iter: int = 100) -> Maker:
 
 
 def rbf_svm(
-    c: float = 1.0, gamma: float | None = None, features: int = 256, seed: int = 1,
-    max_iter: int = 100,
+    c: float = 1.0, gamma: float | None = None, features: int = 128, seed: int = 1,
+    max_iter: int = 100, landmarks: bool = True,
 ) -> Maker:
-    """A radial machine, near enough: random Fourier features and a linear machine."""
+    """A radial machine, near enough: kernel features and a linear machine.
+
+    Features come from ``features`` landmarks of the data, or at random without ``landmarks``.
+    """
 
     def make(n: int, d: int) -> Estimator:
-        lift = FourierFeatures(numInputs=d, numOutputs=features, gamma=gamma, seed=seed)
+        if landmarks:
+            lift = NystroemFeatures(landmarks=features, gamma=1.0 / max(d, 1) if gamma is None else gamma, seed=seed)
+        else:
+            lift = FourierFeatures(numInputs=d, numOutputs=features, gamma=gamma, seed=seed)
         flat = LinearSVC(
-            featuresCol="fourier", regParam=1.0 / (c * n), standardization=False,
+            featuresCol=lift.getOutputCol(), regParam=1.0 / (c * n), standardization=False,
             maxIter=max_iter,
         )
         return Pipeline(stages=[lift, flat])
@@ -71,17 +79,18 @@ def gradient_boosting(rounds: int = 100, rate: float = 1.0, seed: int = 0) -> Ma
 
 
 def boosted_trees(
-    rounds: int = 100, rate: float = 0.1, max_depth: int = 3, seed: int = 0
+    rounds: int = 100, rate: float = 0.1, max_depth: int = 3, penalty: float = 1.0
 ) -> Maker:
-    return lambda n, d: GBTClassifier(
-        maxIter=rounds, stepSize=rate, maxDepth=max_depth, seed=seed
-    )
+    """Trees boosted by gradients and curvatures, leaves with a penalty."""
+    return lambda n, d: SecondOrderTrees(rounds=rounds, rate=rate, maxDepth=max_depth, penalty=penalty)
 
 
-def neural_net(hidden: int = 100, rate: float = 0.03, max_iter: int = 200, seed: int = 1) -> Maker:
-    """One hidden layer, plain gradient descent."""
-    return lambda n, d: MultilayerPerceptronClassifier(
-        layers=[d, hidden, 2], solver="gd", stepSize=rate, maxIter=max_iter, seed=seed
+def neural_net(
+    hidden: int = 100, rate: float = 0.01, max_iter: int = 200, seed: int = 1, alpha: float = 1e-4
+) -> Maker:
+    """One hidden layer of rectified units, a penalty on squared weights."""
+    return lambda n, d: RectifiedNet(
+        numInputs=d, hidden=hidden, alpha=alpha, rate=rate, maxIter=max_iter, seed=seed
     )
 
 

@@ -84,3 +84,32 @@ def median_estimate(
     return df.agg(
         F.percentile_approx(F.col(column).cast("double"), 0.5, accuracy).alias(name)
     )
+
+
+#: Size parameter of a sketch, and the share of rows by which a rank may be off at this size
+#: (for 99 % of all sketches; the figure the sketch's authors give).
+SKETCH_K, SKETCH_ERROR = 800, 0.0035
+
+
+def quantile_sketches(df: DataFrame, column: str, by: list[str], k: int = SKETCH_K) -> DataFrame:
+    """``by``, ``sketch``: of each group a summary of its values, of some kilobytes.
+
+    Sketches are combined in each task.  They can be stored by partition, and merged later to
+    sketches of any union of groups without a look at the rows.  Nulls and NaN have no part;
+    a group without a value has no sketch.
+    """
+    value = F.col(f"`{column}`").cast("double")
+    held = df.where(value.isNotNull() & ~F.isnan(value))
+    return held.groupBy(*by).agg(F.kll_sketch_agg_double(value, F.lit(k)).alias("sketch"))
+
+
+def merged_sketches(sketches: DataFrame, by: list[str] | None = None, k: int = SKETCH_K) -> DataFrame:
+    """Sketches of coarser groups (of all rows by default)."""
+    return sketches.groupBy(*(by or [])).agg(F.kll_merge_agg_double("sketch", F.lit(k)).alias("sketch"))
+
+
+def sketch_quantile(sketches: DataFrame, q: float = 0.5, name: str = "quantile") -> DataFrame:
+    """``sketch`` replaced by ``n`` and its ``q`` quantile, a value that occurs."""
+    return sketches.withColumns({
+        "n": F.kll_sketch_get_n_double("sketch"), name: F.kll_sketch_get_quantile_double("sketch", F.lit(q)),
+    }).drop("sketch")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml import Transformer
+from pyspark.ml import Estimator, Model, Transformer
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from wagegrid import fixed_values
 from wagegrid.functions.flags import flag_vector
 from wagegrid.functions.salary import parse_salary
+from wagegrid.operators import sparse_rows
 
 
 class TitleFlags(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -81,3 +83,61 @@ class FourierFeatures(Transformer, HasInputCol, HasOutputCol, DefaultParamsReada
 
         values = project(vector_to_array(F.col(self.getInputCol())))
         return dataset.withColumn(self.getOutputCol(), array_to_vector(values))
+
+
+class NystroemFeatures(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """Features whose inner products are near a radial kernel, from landmarks of the data.
+
+    The landmarks are the centres of k-means.  A row becomes its kernel values with the
+    landmarks, times the inverse square root of the landmarks' own kernel matrix (Williams and
+    Seeger, 2001).  Landmarks lie where the rows are, so that as many features come nearer
+    to the kernel than random ones.  The model holds ``landmarks`` vectors of the input's length.
+    """
+
+    landmarks = Param(Params._dummy(), "landmarks", "number of landmarks", TypeConverters.toInt)
+    gamma = Param(Params._dummy(), "gamma", "kernel width", TypeConverters.toFloat)
+    seed = Param(Params._dummy(), "seed", "seed of the landmarks", TypeConverters.toInt)
+
+    def __init__(self, inputCol="features", outputCol="landmark_features", landmarks=128, gamma=1.0, seed=1):  # noqa: N803
+        super().__init__()
+        self._set(inputCol=inputCol, outputCol=outputCol, landmarks=landmarks, gamma=gamma, seed=seed)
+
+    def _fit(self, dataset):
+        means = KMeans(
+            k=max(2, self.getOrDefault(self.landmarks)), seed=self.getOrDefault(self.seed), maxIter=10,
+            featuresCol=self.getInputCol(), predictionCol="_landmark",
+        ).fit(dataset.select(self.getInputCol()))
+        centres = np.unique(np.array(means.clusterCenters()), axis=0)
+        return NystroemModel(
+            self.getInputCol(), self.getOutputCol(), centres.shape[1], centres.ravel().tolist(), self.getOrDefault(self.gamma)
+        )
+
+
+class NystroemModel(Model, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    numInputs = Param(Params._dummy(), "numInputs", "length of the input", TypeConverters.toInt)
+    centres = Param(Params._dummy(), "centres", "landmarks, end to end", TypeConverters.toListFloat)
+    gamma = Param(Params._dummy(), "gamma", "kernel width", TypeConverters.toFloat)
+
+    def __init__(self, inputCol="features", outputCol="landmark_features", numInputs=1, centres=(0.0,), gamma=1.0):  # noqa: N803
+        super().__init__()
+        self._set(inputCol=inputCol, outputCol=outputCol, numInputs=numInputs, centres=list(centres), gamma=gamma)
+
+    def _transform(self, dataset):
+        centres = np.array(self.getOrDefault(self.centres)).reshape(-1, self.getOrDefault(self.numInputs))
+        gamma, squares = self.getOrDefault(self.gamma), (centres**2).sum(axis=1)
+        own = np.exp(-gamma * np.maximum(squares[:, None] + squares - 2 * centres @ centres.T, 0))
+        values, vectors = np.linalg.eigh(own)
+        # directions in which the landmarks do not differ carry noise only
+        kept = values > 1e-9 * values.max()
+        root = vectors[:, kept] / np.sqrt(values[kept])
+
+        @F.arrow_udf("array<double>")
+        def lift(rows: pa.Array) -> pa.Array:
+            held = sparse_rows.rows_of(rows)
+            apart = held.summed(held.values**2)[:, None] + squares - 2 * held.times(centres.T)
+            lifted = np.exp(-gamma * np.maximum(apart, 0)) @ root
+            ends = pa.array(np.arange(0, lifted.size + 1, lifted.shape[1], dtype=np.int32))
+            return pa.ListArray.from_arrays(ends, pa.array(lifted.ravel()))
+
+        made = lift(sparse_rows.held(self.getInputCol()))
+        return dataset.withColumn(self.getOutputCol(), array_to_vector(made))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -114,14 +113,7 @@ def assemble(spark, folder):
         settings.written(standins.labelled_postings(spark, folder), "postings")
     )
     model = features.assemble(rows, "synopses")
-    names = F.array(*[F.lit(n) for n in features.feature_names(model)])
-    return (
-        model.transform(rows)
-        .select("doc_id", F.arrays_zip(names.alias("feature"),
-                                       vector_to_array("features").alias("value")).alias("f"))
-        .select("doc_id", F.inline("f"))
-        .where(F.col("value") != 0)
-    )
+    return features.named_features(model.transform(rows), model, "doc_id")
 
 
 @query(

@@ -172,12 +172,34 @@ def read_date_range(spark, folder):
     )
 
 
-@query("sample_rows")
+_SLOT = "md5(doc_id || '#42')"
+
+
+@query(
+    "sample_rows",
+    f"SELECT doc_id, lang, source FROM documents WHERE ('0x' || substr({_SLOT}, 1, 8))::BIGINT < {round(0.1 * 2**32)}",
+)
 def sample_rows(spark, folder):
     documents = table(spark, folder, "documents").select("doc_id", "lang", "source")
     return readers.sample_rows(documents, 0.1, key="doc_id")
 
 
+@query("sample_exactly", f"SELECT doc_id, lang, source FROM documents ORDER BY {_SLOT}, doc_id LIMIT 100")
+def sample_exactly(spark, folder):
+    documents = table(spark, folder, "documents").select("doc_id", "lang", "source")
+    return readers.sample_exactly(documents, 100, "doc_id")
+
+
+@query(
+    "sample_groups",
+    f"SELECT doc_id, lang, source FROM documents "
+    f"QUALIFY row_number() OVER (PARTITION BY lang, source ORDER BY {_SLOT}, doc_id) <= 10",
+)
+def sample_groups(spark, folder):
+    documents = table(spark, folder, "documents").select("doc_id", "lang", "source")
+    return readers.sample_exactly(documents, 10, "doc_id", by=("lang", "source"))
+
+
 @query(
     "parse_search_request",
     f"SELECT c_custkey, array_to_string(titles, '|') AS titles, "

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wagegrid.operators import features
 from wagegrid.plans.registry import table, texts
 
 
@@ -120,20 +121,29 @@ FROM (SELECT c_custkey, '{{"titles": "''' || lower(c_mktsegment)
 
 
 def _postings(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents named like postings."""
-    return texts(spark, folder, "documents", "doc_id", "text", "source", "lang").select(
+    """Documents named like postings; their length stands in for the salary."""
+    return texts(spark, folder, "documents", "doc_id", "text", "source", "lang", "n_chars").select(
         "doc_id", F.col("text").alias("Title"), F.col("text").alias("Synopsis"),
-        F.col("source").alias("City"), F.col("lang").alias("State Initials"),
+        F.col("source").alias("City"), F.col("lang").alias("State Initials"), "n_chars",
     )
 
 
 def labelled_postings(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents with a quality label."""
-    labels = table(spark, folder, "labels").select("doc_id", F.col("quality").alias("label"))
-    return _postings(spark, folder).join(labels, "doc_id", "inner")
+    """Documents that have a quality label, with whether they are longer than the median of
+    them: a class that counts of words can tell.
+    """
+    chosen = table(spark, folder, "labels").select("doc_id")
+    found = _postings(spark, folder).join(chosen, "doc_id", "inner")
+    return features.above_median(found, "n_chars", name="label").drop("n_chars")
+
+
+#: The same in SQL: doc_id, label and the columns of the documents.
+LABELLED = """(
+SELECT d.*, CASE WHEN n_chars > median(n_chars) OVER () THEN 1 ELSE 0 END AS label
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"""
 
 
 def unlabelled_postings(spark: SparkSession, folder: str) -> DataFrame:
     """Documents without a label."""
     labelled = table(spark, folder, "labels").select("doc_id")
-    return _postings(spark, folder).join(labelled, "doc_id", "left_anti")
+    return _postings(spark, folder).join(labelled, "doc_id", "left_anti").drop("n_chars")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from wagegrid import settings
 from wagegrid.functions.salary import mean_present
 from wagegrid.operators import quantiles, stats
 from wagegrid.plans.registry import query, table
@@ -31,6 +32,46 @@ def quantile_value(spark, folder):
     return found.select(F.round("upper", 6).alias("upper"))
 
 
+def _within(found, rows, group):
+    """``group``, n and whether the rank of the estimate is as near to the middle as is stated."""
+    joined = rows.join(settings.small_side(found.select(F.col(group).alias("_group"), "n", "median")), F.col(group) == F.col("_group"))
+    ranks = joined.groupBy(group, "n").agg(
+        F.count_if(F.col("value") < F.col("median")).alias("less"), F.count_if(F.col("value") <= F.col("median")).alias("upto"),
+    )
+    off = quantiles.SKETCH_ERROR * F.col("n") + 1
+    near = (F.col("less") - off <= F.col("n") / 2) & (F.col("upto") + off >= F.col("n") / 2)
+    return ranks.select(group, "n", near.alias("near"))
+
+
+def _daily_sketches(spark, folder):
+    """Sketches of the values of each day, stored by day as a nightly job would."""
+    events = table(spark, folder, "events").select(F.to_date("ts").cast("string").alias("day"), "value")
+    path = settings.new_folder(spark, "sketches")
+    quantiles.quantile_sketches(events, "value", ["day"]).write.partitionBy("day").parquet(path)
+    return events, spark.read.schema("sketch binary, day string").parquet(path)
+
+
+@query(
+    "median_by_day",
+    "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, COUNT(value) AS n, true AS near FROM events GROUP BY 1 HAVING COUNT(value) > 0",
+)
+def median_by_day(spark, folder):
+    events, stored = _daily_sketches(spark, folder)
+    return _within(quantiles.sketch_quantile(stored, name="median"), events, "day")
+
+
+@query(
+    "median_by_month",
+    "SELECT strftime(ts, '%Y-%m') AS month, COUNT(value) AS n, true AS near FROM events GROUP BY 1 HAVING COUNT(value) > 0",
+)
+def median_by_month(spark, folder):
+    """From the sketches of the days, without a second look at the values."""
+    events, stored = _daily_sketches(spark, folder)
+    month = F.substring("day", 1, 7).alias("month")
+    merged = quantiles.merged_sketches(stored.withColumn("month", month), ["month"])
+    return _within(quantiles.sketch_quantile(merged, name="median"), events.withColumn("month", month), "month")
+
+
 @query("value_counts", "SELECT o_orderpriority, COUNT(*) AS n FROM orders GROUP BY 1")
 def value_counts(spark, folder):
     return stats.value_counts(table(spark, folder, "orders"), "o_orderpriority")

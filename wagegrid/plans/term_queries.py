@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from wagegrid import fixed_values
@@ -75,13 +74,21 @@ def term_counts(spark, folder):
     )
 
 
-@query("hash_term_counts")
+@query(
+    "hash_term_counts",
+    f"SELECT doc_id, CAST(('0x' || substr(md5(term), 1, 8))::BIGINT % 100 AS INTEGER) AS bucket, COUNT(*) AS n "
+    f"FROM {KEPT_TERMS} GROUP BY 1, 2",
+)
 def hash_term_counts(spark, folder):
-    hashed = terms.hash_term_counts(kept_words(spark, folder), "kept")
-    placed = hashed.select(
-        "doc_id", F.posexplode(vector_to_array("counts")).alias("bucket", "n")
+    return terms.bucket_counts(kept_words(spark, folder), "doc_id", "kept")
+
+
+@query("top_terms_bounded", TOP_50)
+def top_terms_bounded(spark, folder):
+    """The same with summaries too small for the vocabulary: candidates are counted again."""
+    return terms.top_terms(
+        kept_words(spark, folder), "kept", fixed_values.SYNOPSIS_TERMS, min_rows=2, rows_too=True, capacity=400
     )
-    return placed.where(F.col("n") > 0)
 
 
 _BLANKS = r"regexp_split_to_array(regexp_replace(lower(text), '\s+$', ''), '\s')"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,6 +83,12 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.PAGES).parquet(path)
 
 
+def _slot(key: str | Column, seed: int) -> Column:
+    """A row's place in the draw: 32 hexadecimal digits that any engine can work out again."""
+    value = F.col(key) if isinstance(key, str) else key
+    return F.md5(F.concat(F.coalesce(value.cast("string"), F.lit("")), F.lit(f"#{seed}")).cast("binary"))
+
+
 def sample_rows(
     df: DataFrame, share: float = fixed_values.SAMPLE_SHARE, *,
     key: str | Column | None = None, seed: int = 42,
@@ -92,6 +98,19 @@ def sample_rows(
     """
     if key is None:
         return df.sample(withReplacement=False, fraction=share)
-    slots = 1_000_000
-    slot = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(slots))
-    return df.where(slot < F.lit(int(round(share * slots))))
+    first = F.conv(F.substring(_slot(key, seed), 1, 8), 16, 10).cast("long")
+    return df.where(first < F.lit(int(round(share * 2**32))))
+
+
+def sample_exactly(df: DataFrame, k: int, key: str, *, by: tuple[str, ...] = (), seed: int = 42) -> DataFrame:
+    """Exactly ``k`` random rows, or ``k`` of each group of ``by`` (all, if there are fewer).
+
+    The rows with the smallest slots are the sample, equal slots by key.  Tasks keep the
+    ``k`` smallest they see, and the smallest of these are the smallest of all: a hot group
+    sends no more than ``k`` rows per task.
+    """
+    slotted = df.withColumn("_slot", _slot(key, seed))
+    if not by:
+        return slotted.orderBy("_slot", key).limit(k).drop("_slot")
+    place = F.row_number().over(Window.partitionBy(*by).orderBy("_slot", key))
+    return slotted.withColumn("_place", place).where(F.col("_place") <= k).drop("_slot", "_place")
