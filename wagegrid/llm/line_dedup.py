@@ -6,7 +6,7 @@ Classes that share a key and whose edit similarity (1 - distance / longer length
 ``SIMILARITY`` link.
 
 A line's SimHash has one block of 64 bits for every ``BLOCK_WORDS`` words or so, at least
-``LEAST_BLOCKS``; a word votes in the block its hash names.  A changed word touches two
+``LEAST_BLOCKS``; a word (its first use, its second, ...) votes in the block its hash names.  A changed word touches two
 blocks at most, so that a line whose changes touch less than half of its blocks keeps two
 neighbouring blocks as they were (the last block neighbours the first).  A class is filed
 under every pair of neighbouring blocks.  The number of blocks grows with the length, in steps
@@ -32,9 +32,9 @@ from wagegrid.llm.graph import components
 #: Words for each block of the SimHash, and fewest blocks.
 BLOCK_WORDS = 4
 LEAST_BLOCKS = 8
-#: Words that two neighbouring blocks must hold to be a key: two of a line of less than
-#: ``SHORT`` words (or its only one), three of a longer line.
-KEY_WORDS, SHORT = 3, 10
+#: Words that two neighbouring blocks must hold to be a key (or all of a shorter line), for
+#: lines of at least so many words.
+KEY_WORDS = ((0, 2), (10, 3), (25, 4))
 #: Least edit similarity of linked lines.
 SIMILARITY = 0.9
 #: A line is filed for its own number of words and for one that is longer by so much.
@@ -62,10 +62,23 @@ def _blocks(n: np.ndarray) -> np.ndarray:
     return np.maximum(LEAST_BLOCKS, np.floor(2 ** (step / 2)).astype(np.int64))
 
 
+def _told_apart(hashes: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """A word's first, second, ... use in a line as words of their own, so that no word that is
+    often used decides a block.
+    """
+    order = np.lexsort((hashes, line))
+    new = np.ones(len(order), bool)
+    new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (line[order][1:] != line[order][:-1])
+    firsts = np.flatnonzero(new)
+    use = np.empty(len(order), np.uint64)
+    use[order] = np.arange(len(order)) - np.repeat(firsts, np.diff(np.append(firsts, len(order))))
+    return words.mix(hashes + use * np.uint64(0xD1B54A32D192ED03), 4)
+
+
 def _keys_for(hashes: np.ndarray, starts: np.ndarray, n: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(line, key) for lines of ``n`` words from ``starts`` on, with the given numbers of blocks."""
     line = np.repeat(np.arange(len(n)), n)
-    own = hashes[np.repeat(starts - np.cumsum(n) + n, n) + np.arange(len(line))]
+    own = _told_apart(hashes[np.repeat(starts - np.cumsum(n) + n, n) + np.arange(len(line))], line)
     first = np.cumsum(blocks) - blocks
     block = first[line] + (own % blocks[line].astype(np.uint64)).astype(np.int64)
     held = np.bincount(block, minlength=int(blocks.sum()))
@@ -81,7 +94,8 @@ def _keys_for(hashes: np.ndarray, starts: np.ndarray, n: np.ndarray, blocks: np.
     after[first + blocks - 1] = first
     number = (np.arange(len(held)) - first[of] + 1024 * blocks[of]).astype(np.uint64)
     keys = words.mix(words.mix(simhash, 1) + words.mix(simhash[after], 2) * np.uint64(3) + words.mix(number, 3))
-    enough = held + held[after] >= np.minimum(n, KEY_WORDS - (n < SHORT))[of]
+    least = np.select([n >= size for size, _ in reversed(KEY_WORDS)], [k for _, k in reversed(KEY_WORDS)])
+    enough = held + held[after] >= np.minimum(n, least)[of]
     return of[enough], keys[enough].view(np.int64)
 
 
