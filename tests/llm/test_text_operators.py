@@ -162,7 +162,7 @@ def test_line_keys_find_edited_lines(n, edit):
         before.append(" ".join(own))
         after.append(new)
     keys = [line_dedup._line_facts(pa.array(t), with_keys=True)["keys"].to_pylist() for t in (before, after)]
-    assert sum(bool(set(a) & set(b)) for a, b in zip(*keys, strict=True)) >= (0.7 if n == 5 else 0.85) * len(before)
+    assert sum(bool(set(a) & set(b)) for a, b in zip(*keys, strict=True)) >= (0.85 if n > 5 and edit in ("letter", "word", "swap") else 0.7) * len(before)
 
 
 def test_keys_find_similar_lines_of_the_documents(sf):
@@ -351,3 +351,78 @@ def test_mixed_documents_hold_the_taken_words(docs):
     for r in mixing.taken(*mixing.mix(docs, block=50, shard_blocks=7)).collect():
         want[r.doc_id] += r.taken
     assert +got == +want
+
+
+def test_rows_that_share_an_id_are_mixed_apart(spark):
+    """One id with several sizes, sources and texts, null ids, equal rows: no row is taken too often."""
+    text = lambda n, w="w": " ".join(f"{w}{i}" for i in range(n))
+    rows = [(1, text(10), "a"), (1, text(50), "a"), (1, text(3), "b"), (2, text(11), "b"), (1, text(10, "v"), "a"), (1, text(10), "a"),
+            (None, text(7), "a"), (None, text(9), None), (None, text(9), None), (3, None, "b"), (4, "", None)]
+    docs = spark.createDataFrame([(*r, "x", 5) for r in rows], "doc_id long, text string, source string, row string, size int")
+    runs = []
+    for parts in (1, 4):
+        documents, pieces = mixing.mix(docs.repartition(parts), block=4, shard_blocks=3)
+        got = mixing.taken(documents, pieces).collect()
+        assert len(got) == len(rows) and all(r.taken <= 3 * r["size"] for r in got)
+        kept = {r.row: r for r in documents.collect()}
+        words = Counter()
+        for p in pieces.collect():
+            words[kept[p.row].source] += p.words
+            assert 0 <= p.first_word and p.first_word + p.words <= kept[p.row]["size"] and p["pass"] < 3
+        targets = {r.source: r.target for r in kept.values()}
+        assert {s: words[s] for s in targets} == {s: round(t) for s, t in targets.items()}
+        runs.append(Counter(map(tuple, got)))
+        made = mixing.mixed_documents(docs.repartition(parts), block=4, shard_blocks=3)
+        runs.append(Counter(map(tuple, made.collect())))
+        taken = Counter()
+        for r in made.collect():
+            taken[r.source] += len((r.text or "").split())
+        assert taken == words
+    assert runs[:2] == runs[2:]
+
+
+def test_languages_of_texts_with_any_character():
+    """Characters that part nothing and texts behind them keep their n-grams."""
+    odd = ["ab\0cd", "\0\0", "x\0", None, "İstanbul\0 ß", "\u2028 z", "plain words"]
+    alone = [language.text_profiles([t])[0].tolist() for t in odd]
+    assert [p.tolist() for p in language.text_profiles(odd)] == alone
+    assert alone[0] == language.text_profiles(["ab cd"])[0].tolist() and alone[1] == [] == alone[3]
+
+
+def test_distance_of_languages_is_out_of_place(spark, docs):
+    """Every prediction by plain lists of n-grams and ranks."""
+    def ranked(texts):
+        counts = Counter()
+        for t in texts:
+            for w in "".join(c if c.isalpha() else " " for c in t.lower()).split():
+                w = f" {w} "
+                counts.update(g for k in (1, 2, 3) for i in range(len(w) - k + 1) if (g := w[i : i + k]).strip())
+        return counts
+
+    code = lambda g: sum(ord(c) << 21 * (len(g) - 1 - i) for i, c in enumerate(g))
+    best = lambda counts: [g for g, _ in sorted(counts.items(), key=lambda x: (-x[1], code(x[0])))[: language.PROFILE]]
+    rows = [r for r in docs.select("doc_id", "text", "lang").collect() if r.text is not None and len(r.text) < 5_000]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    profiles = language.learn_profiles(frame)
+    want = {}
+    for name in sorted({r.lang for r in rows if r.lang}):
+        want[name] = {g: i for i, g in enumerate(best(ranked([r.text for r in rows if r.lang == name])))}
+    assert {(r.lang, r.gram): r.place for r in profiles.collect()} == {(n, code(g)): i for n, p in want.items() for g, i in p.items()}
+    for r in language.with_language(frame, profiles).collect():
+        own = best(ranked([r.text]))
+        if not own:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        off = {n: sum(abs(i - p[g]) if g in p else language.PROFILE for i, g in enumerate(own)) for n, p in want.items()}
+        name = min(off, key=lambda n: (off[n], n))
+        assert r.lang_pred == name and abs(r.score - (1 - off[name] / (len(own) * language.PROFILE))) < 1e-12
+
+
+def test_ids_of_long_and_many_texts(spark):
+    """Slices of bytes give the ids of the texts, in their rows."""
+    texts = ["word " * 60_000, None, "", *[f"text number {i}" for i in range(3000)], "ünï " * 90_000]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").coalesce(1)
+    found = {r.doc_id: r.ids for r in tokenizer().encode(frame).collect()}
+    codec = bpe.Codec(ranks := bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), bpe.model_bytes(ranks), public_tokenizers.PATTERN)
+    for i, ids in enumerate(codec.encode(texts)):
+        assert found[i] == ids
