@@ -34,6 +34,7 @@ EPOCHS = 14
 HIDDEN = 24
 _PATHS, _WORDS, _FIGURES, _INPUT = 512, 256, 8, 24
 _BLOCKS = 20_000  # worked on at a time
+_TRAIN_BLOCKS = 48 * 120  # in a training step, the blanks behind shorter pages counted
 
 _MAIN = {"article", "main"}
 _OTHER = {"nav", "header", "footer", "aside", "form"}
@@ -148,14 +149,14 @@ def page_features(blocks: list[Block]) -> tuple[list[list[int]], list[list[int]]
     for i, block in enumerate(blocks):
         found = cache.get(block.path)
         if found is None:
-            own = block.path[-24:]
+            own = block.path
             found = cache[block.path] = [
                 *(_bucket(w, _PATHS // 2) for w in own),
                 *(_PATHS // 2 + _bucket(w, _PATHS // 2) for w in own[-4:]),
             ]
         paths.append(found)
         words = block.text.split()
-        texts.append([_bucket(w.lower(), _WORDS) for w in words[:: max(1, len(words) // 24)]])
+        texts.append([_bucket(w, _WORDS) for w in block.text.lower().split()])
         last = block.text[-1]
         figures[i] = (
             np.log1p(len(words)) / 5, len(words) < 5, block.linked, last in ".!?…", bool(_ASIDE.search(block.text)),
@@ -290,11 +291,16 @@ class Labeller:
         return out
 
     def train(self, pages: list[list[Block]], epochs: int = EPOCHS, seed: int = 5) -> None:
-        """Adam steps on batches of pages of like length; long pages are cut to 120 blocks here."""
+        """Adam steps on batches of whole pages of like length, fewer the longer they are."""
         draw = random.Random(seed)
-        pages = [p[:120] for p in pages if p]
-        pages.sort(key=len)
-        batches = [(batch_of(pages[i : i + 48]), pages[i : i + 48]) for i in range(0, len(pages), 48)]
+        pages = sorted((p for p in pages if p), key=len)
+        batches, at = [], 0
+        while at < len(pages):
+            own = pages[at : at + 48]
+            while len(own) > 1 and len(own) * len(own[-1]) > _TRAIN_BLOCKS:
+                own = own[:-1]
+            batches.append((batch_of(own), own))
+            at += len(own)
         sides = []
         for b, own in batches:
             wanted = np.zeros((b.steps, b.pages))
@@ -350,7 +356,7 @@ def learn_labeller(pages: DataFrame, id_col: str = "page_id", html_col: str = "h
         for _ in range(MADE if content else 0):
             around = draw.sample(others, min(len(others), 6)) + draw.sample(sentences, min(len(sentences), 8))
             around += draw.sample([t for texts in contents for t in texts[1:2]] or content, 1)
-            made.append(read_blocks(made_up_page(content[:40], around, draw)))
+            made.append(read_blocks(made_up_page(content, around, draw), marked=True))
     found = Labeller(seed)
     if read:
         found.train(read + made, seed=seed)

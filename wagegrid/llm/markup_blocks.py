@@ -13,11 +13,13 @@ _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small "
-    "span strike strong sub sup time tt u var wbr".split()
+    "span strike strong sub sup time tt u var wbr "
+    "math maction menclose merror mfenced mfrac mi mn mo mover mpadded mphantom mroot mrow ms mspace msqrt "
+    "mstyle msub msubsup msup mtext munder munderover semantics".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is no text of the page.
-RAW = frozenset("script style noscript template svg iframe object canvas title textarea select math".split())
+RAW = frozenset("script style noscript template svg iframe object canvas title textarea select annotation".split())
 #: Opening one of these ends an open one of those.
 _ENDS = {
     "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"},
@@ -31,7 +33,7 @@ class Block:
     text: str
     path: tuple[str, ...]  #: tags and words of classes, ids and roles, outermost first
     linked: float  #: share of characters inside links
-    mark: int | None = None  #: the nearest ``data-y`` (training pages only)
+    mark: int | None = None  #: the nearest ``data-y`` (made-up pages only)
 
 
 class _Open:
@@ -41,9 +43,14 @@ class _Open:
         self.name, self.words, self.mark = name, words, mark
 
 
-def read_blocks(page: str | None) -> list[Block]:
+#: Innermost elements whose words are all in a path; those further out give each word once.
+_NEAR = 14
+
+
+def read_blocks(page: str | None, marked: bool = False) -> list[Block]:
     """Blocks with text, in page order; scripts, styles, comments and markup are none.
 
+    With ``marked`` a ``data-y`` attribute is a training label; in other pages it is like any.
     Character references are decoded, white space becomes one blank.  Stray end tags are
     passed over; unclosed tags end with what holds them.  A tag with an unbalanced quote, and all
     behind it, end at their first ``>``.  The time grows with the page's length.
@@ -52,7 +59,9 @@ def read_blocks(page: str | None) -> list[Block]:
     lowered = page.lower() if len(page.lower()) == len(page) else page
     out: list[Block] = []
     stack: list[_Open] = []
-    count: dict[str, int] = {}
+    places: dict[str, list[int]] = {}  # where in the stack the elements of a name are
+    far: dict[str, int] = {}  # words of the elements further out, and how often
+    unclosed: set[str] = set()  # raw elements that nothing closes from here on
     pieces: list[str] = []
     linked = total = links = 0
     balanced = True
@@ -61,8 +70,8 @@ def read_blocks(page: str | None) -> list[Block]:
         nonlocal linked, total
         text = " ".join(html.unescape("".join(pieces)).split()) if pieces else ""
         if text:
-            path = tuple(w for o in stack[-14:] if o.name not in INLINE for w in o.words)
-            mark = next((o.mark for o in reversed(stack) if o.mark is not None), None)
+            path = (*far, *(w for o in stack[-_NEAR:] if o.name not in INLINE for w in o.words))
+            mark = next((o.mark for o in reversed(stack) if o.mark is not None), None) if marked else None
             out.append(Block(text, path, linked / max(total, 1), mark))
         pieces.clear()
         linked = total = 0
@@ -70,10 +79,27 @@ def read_blocks(page: str | None) -> list[Block]:
     def pop() -> str:
         nonlocal links
         name = stack.pop().name
-        count[name] -= 1
+        places[name].pop()
         links -= name == "a"
+        if len(stack) >= _NEAR and stack[-_NEAR].name not in INLINE:
+            for w in stack[-_NEAR].words:
+                far[w] -= 1
+                if not far[w]:
+                    del far[w]
         return name
 
+    def push(element: _Open) -> None:
+        nonlocal links
+        if len(stack) >= _NEAR and stack[-_NEAR].name not in INLINE:
+            for w in stack[-_NEAR].words:
+                far[w] = far.get(w, 0) + 1
+        places.setdefault(element.name, []).append(len(stack))
+        stack.append(element)
+        links += element.name == "a"
+
+    def last(names: set[str]) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=-1)
+
     at, end = 0, len(page)
     while at < end:
         tag = page.find("<", at)
@@ -110,7 +136,7 @@ def read_blocks(page: str | None) -> list[Block]:
         if following == "/":
             if not inline:
                 flush()
-            if count.get(name):
+            if places.get(name):
                 if not inline or stack[-1].name == name:
                     while pop() != name:
                         pass
@@ -126,8 +152,9 @@ def read_blocks(page: str | None) -> list[Block]:
             continue
         if name in RAW:
             flush()
-            close = lowered.find(f"</{name}", at)
+            close = -1 if name in unclosed else lowered.find(f"</{name}", at)
             if close < 0:
+                unclosed.add(name)
                 at = end if name in ("script", "style", "textarea", "title") else at
             else:
                 stop = page.find(">", close)
@@ -136,28 +163,22 @@ def read_blocks(page: str | None) -> list[Block]:
         if not inline:
             flush()
             closed = _ENDS.get(name, {"p"})
-            if any(count.get(c) for c in closed):
-                scope = _SCOPE.get(name, set())
-                for k in range(len(stack) - 1, max(-1, len(stack) - 40), -1):
-                    if stack[k].name in scope:
-                        break
-                    if stack[k].name in closed:
-                        while len(stack) > k:
-                            pop()
-                        if name not in _ENDS or name in ("li", "option"):
-                            break
+            scope = _SCOPE.get(name, set())
+            while (k := last(closed)) > last(scope):
+                while len(stack) > k:
+                    pop()
+                if name not in _ENDS or name in ("li", "option"):
+                    break
         if name in VOID:
             continue
         words, mark = [name], None
         if not inline:
             for key, value in _ATTRIBUTE.findall(page, found.end(), at):
                 value = value.strip("\"'")
-                if key.lower() == "data-y":
+                if key.lower() != "data-y":
+                    words += ["." + w.lower() for w in _PART.findall(value)]
+                elif marked:
                     mark = int(value == "1")
-                else:
-                    words += ["." + w.lower() for w in _PART.findall(value)[:8]]
-        stack.append(_Open(name, tuple(words), mark))
-        count[name] = count.get(name, 0) + 1
-        links += name == "a"
+        push(_Open(name, tuple(words), mark))
     flush()
     return out
