@@ -5,6 +5,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from wagegrid import fixed_values
 from wagegrid.functions import markup, page_parser
 from wagegrid.operators import pages
 
@@ -142,3 +143,25 @@ def test_unclosed_elements_are_read_in_time(page):
     found = walk.finish()
     assert time.perf_counter() - began < 10
     assert [r["link"] for r in found] == ["x"] * page.count("result")
+
+
+def test_open_cards_are_read_once():
+    """Cards that are never closed: time and output grow with the page, not with its square."""
+    page = '<div class="result"><span class="summary">word <b>' * 20_000
+    began = time.time()
+    walk = page_parser._Walk(fixed_values.CARD, fixed_values.CARD_FIELDS)
+    walk.feed(page)
+    found = walk.finish()
+    assert time.time() - began < 20 and len(found) == 20_000
+    assert sum(len(v or "") for r in found for v in r.values()) <= len(page)
+    assert {r["summary"] for r in found} == {"word "}
+
+
+def test_fields_belong_to_the_innermost_card():
+    page = (
+        '<div class="result"><span class="company">Outer</span><div class="result"><span class="company">Inner</span>'
+        '<span class="location">Here</span></div><span class="location">There</span></div><span class="location">Nowhere</span>'
+    )
+    walk = page_parser._Walk(fixed_values.CARD, {"company": ("span", "class", "company", "text"), "place": ("span", "class", "location", "text")})
+    walk.feed(page)
+    assert walk.finish() == [{"company": "Outer", "place": "There"}, {"company": "Inner", "place": "Here"}]
