@@ -22,7 +22,7 @@ from wagegrid.llm.common import map_batches, slices, with_columns
 #: N-grams in a profile.
 PROFILE = 300
 #: Characters worked on at a time, and counts a task holds before it hands them on.
-_BATCH_CHARS = 1 << 20
+_BATCH_CHARS = 1 << 18
 _HELD = 500_000
 _BITS = 21  # of a code point; three of them fill 63 bits
 
