@@ -270,6 +270,19 @@ def test_hidden_markov_model(docs, no_docs):
     assert hmm.score_documents(no_docs, F.lit(True)).collect() == []
 
 
+def test_language_model_learns_from_all_documents(docs):
+    got = hmm.score_documents(docs, F.lit(True), states=2, core=5000, steps=2).collect()
+    symbols = hmm.learn_symbols(hmm.count_words(docs), docs.count(), 5000)
+    rows = hmm.encode(docs.select("doc_id", "text"), symbols).collect()
+    seqs = [np.frombuffer(r.seq, np.int32) for r in rows]
+    overall = (symbols.counts + 1) / (symbols.counts + 1).sum()
+    model = hmm.first_model(overall, 2)
+    for _ in range(2):
+        model = hmm.fitted(*hmm.Trellis(seqs, model).expected(), overall)
+    wanted = hmm.Trellis(seqs, model).log10()
+    assert np.allclose(sorted(r.score for r in got), sorted(wanted))
+
+
 def test_forward_recursion_and_expected_counts():
     draw = np.random.default_rng(1)
     model = hmm.Model(*(x / x.sum() if x.ndim == 1 else x for x in (draw.random(2), np.full((2, 2), 0.5), draw.random((3, 2)))))

@@ -8,8 +8,8 @@ So the emission table has a fixed size while the counts grow with the corpus, an
 P(text) = P(symbols by the forward recursion) * product of P(word | class).
 
 Training.  Word counts, class totals and expected counts of Baum-Welch steps are sums over
-all training rows, added up in tasks first.  A few steps on a bounded sample of
-documents part the states from each other before the steps over the whole corpus.
+all training rows, added up in tasks first.  The states begin apart by chance, and every step
+that parts them further reads the whole corpus.
 """
 
 from __future__ import annotations
@@ -33,15 +33,14 @@ from wagegrid.llm.common import map_batches, slices
 CORE = 65_536
 ENDINGS = 256
 STATES = 8
-#: Steps on the sample, steps over the corpus, documents in the sample (about).
-SAMPLE_STEPS = 12
-STEPS = 1
-SAMPLE = 500
+#: Steps over the corpus.
+STEPS = 7
 #: Weight, in tokens, of the overall frequencies in every state's emissions.
 PRIOR = 200.0
 _TOKENS = 200_000  # worked on at a time
 _HELD = 400_000  # words counted in a task before they are handed on
 _CHUNK = 4_096  # symbols in one row of expected counts
+_SUMMING = 3  # tasks for a core that sum expected counts
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -260,21 +259,22 @@ def fitted(start: np.ndarray, moves: np.ndarray, emit: np.ndarray, overall: np.n
     )
 
 
-def first_model(seqs: list[np.ndarray], overall: np.ndarray, states: int, seed: int = 0) -> Model:
-    """States parted by Baum-Welch steps on a few documents, from a random beginning."""
+def first_model(overall: np.ndarray, states: int, seed: int = 0) -> Model:
+    """States that lean by chance from the overall frequencies, each to words of its own."""
     draw = np.random.default_rng(seed)
     emit = overall[:, None] * draw.gamma(2.0, 0.5, (len(overall), states))
     move = np.full((states, states), 0.1 / states) + 0.9 * np.eye(states)
-    model = Model(np.full(states, 1 / states), move, emit / emit.sum(axis=0))
-    for _ in range(SAMPLE_STEPS if seqs else 0):
-        sums = [Trellis([seqs[i] for i in group], model).expected() for group in _groups(seqs)]
-        model = fitted(*(sum(parts) for parts in zip(*sums, strict=True)), overall)
-    return model
+    return Model(np.full(states, 1 / states), move, emit / emit.sum(axis=0))
 
 
 def step(encoded: DataFrame, model: Model, overall: np.ndarray) -> Model:
-    """One Baum-Welch step over all rows of ``encoded``: sums of the tasks' expected counts."""
-    shared = encoded.sparkSession.sparkContext.broadcast(model)
+    """One Baum-Welch step over all rows of ``encoded``: sums of the tasks' expected counts.
+
+    A task hands on counts of every symbol and state, however few rows it read: so there are
+    ``_SUMMING`` tasks for a core and no more, and what is shuffled does not grow with the corpus.
+    """
+    context = encoded.sparkSession.sparkContext
+    shared = context.broadcast(model)
     states = len(model.start)
 
     def expect(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,7 +294,8 @@ def step(encoded: DataFrame, model: Model, overall: np.ndarray) -> Model:
         total = sum(np.frombuffer(h, np.float64) for h in group["held"])
         return pd.DataFrame({"chunk": group["chunk"].iloc[:1], "held": [total.tobytes()]})
 
-    sums = encoded.select("seq").mapInArrow(expect, "chunk int, held binary")
+    read = encoded.select("seq").coalesce(_SUMMING * context.defaultParallelism)
+    sums = read.mapInArrow(expect, "chunk int, held binary")
     rows = sums.groupBy("chunk").applyInPandas(add, "chunk int, held binary").collect()
     held = [np.frombuffer(r.held, np.float64) for r in sorted(rows, key=lambda r: r.chunk)]
     shared.unpersist()
@@ -312,8 +313,7 @@ def score_documents(
     doc_id, n_tokens, n_known, train_tokens, base_score (words independent of each other,
     add-one over the training counts) and score (this model), for every row of ``docs``.  A null
     text is an empty one: it has just the end.  Repeated rows each get their result
-    and each count.  Without training rows every word is unknown.  Other columns are not looked
-    at.  The sample for the first steps holds about ``SAMPLE`` documents.
+    and each count.  Without training rows every word is unknown.  Other columns are not looked at.
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
     counts = settings.written(count_words(docs.where("learn")), "word-counts")
@@ -323,10 +323,7 @@ def score_documents(
     overall = symbols.counts + 1.0
     overall /= overall.sum()
 
-    rate = min(1.0, SAMPLE / max(documents, 1))
-    chosen = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) < int(rate * (1 << 30))
-    sample = encoded.where(F.col("learn") & chosen).select("row", "seq").collect()
-    model = first_model([np.frombuffer(r.seq, np.int32) for r in sorted(sample, key=lambda r: r.row)], overall, states)
+    model = first_model(overall, states)
     for _ in range(steps):
         model = step(encoded.where("learn"), model, overall)
 
