@@ -111,3 +111,15 @@ def test_counts_in_rows_are_not_shuffled(spark):
     many = terms.term_counts(df, "id", size=terms.LISTED_TERMS + 1)
     assert sorted(map(tuple, many.collect())) == sorted(map(tuple, terms.term_counts(df, "id", size=9).collect()))
     assert sum(r.n for r in terms.bucket_counts(df, "id").collect()) == 24
+
+
+def test_pieces_of_rows_are_counted_once_a_row(spark):
+    rows = [["a"] * 100 + ["b"], ["b"] * 40, [], None, ["a", None, "c"] * 30]
+    df = spark.createDataFrame(list(enumerate(rows)), "id int, words array<string>")
+    pieces = frequent._pieces(df, "words").collect()
+    assert max(len(r[0]) for r in pieces) == frequent.PIECE and sum(len(r[0]) for r in pieces) == 231
+    batches = [
+        pa.record_batch({"w": pa.array([p[0]], pa.list_(pa.string())), "row": pa.array([p[1]], pa.int64())}) for p in pieces
+    ]
+    (out,) = frequent._summary(60)(batches)
+    assert [tuple(r.values())[:3] for r in out.to_pylist()] == [("a", 130, 2), ("b", 41, 2), ("c", 30, 1), (None, 0, 0)]
