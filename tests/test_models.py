@@ -1,6 +1,7 @@
 """Features and classifiers on a small table whose classes can be told apart."""
 
 import math
+import threading
 import random
 
 import numpy as np
@@ -167,6 +168,18 @@ def test_compare(training):
     assert all(r.mean_score == 1.0 and r.sd_score == 0.0 for r in table)
 
 
+def test_compared_runs_train_side_by_side(training):
+    rows, _ = training
+    met = threading.Barrier(2, timeout=60)
+
+    def maker(n, d):
+        met.wait()  # one run at a time would wait here for ever
+        return models.logistic()(n, d)
+
+    table = models.compare_models({"synopses": rows}, [("a", "synopses", maker), ("b", "synopses", maker)], parallelism=1)
+    assert sorted(r.model for r in table.collect()) == ["a", "b"]
+
+
 def test_study_can_be_saved(spark, postings, tmp_path):
     steps = features.feature_stages(postings, "flags")
     model = models.study(postings, steps, models.logistic())
