@@ -315,6 +315,38 @@ def test_forward_recursion_and_expected_counts():
     assert np.allclose(start, want[0]) and np.allclose(moves, want[1]) and np.allclose(emit, want[2])
 
 
+def test_long_sequences_are_scaled_now_and_then():
+    draw = np.random.default_rng(4)
+    model = hmm.first_model(draw.random(50) ** 8 + 1e-9, 3)
+    seqs = [draw.integers(0, 50, n).astype(np.int32) for n in (700, 9, 8, 1, 33)]
+    trellis = hmm.Trellis(seqs, model)
+    _, scale = trellis.forward()
+    at = np.repeat(np.arange(trellis.steps), trellis.alive)
+    assert (scale[at % hmm._SCALED != 0] == 1).all() and (scale[at % hmm._SCALED == 0] < 1).all()
+    starts, moves, emit = np.zeros(3), np.zeros((3, 3)), np.zeros((50, 3))
+    for seq, found in zip(seqs, trellis.log10(), strict=True):
+        a, b = [model.start * model.emit[seq[0]]], [np.ones(3)]
+        logs = 0.0
+        for t in range(1, len(seq) + 1):
+            logs += np.log10(a[-1].sum())
+            a[-1] = a[-1] / a[-1].sum()
+            if t < len(seq):
+                a.append((a[-1] @ model.move) * model.emit[seq[t]])
+        for s in seq[:0:-1]:
+            b.append(model.move @ (model.emit[s] * b[-1]))
+            b[-1] = b[-1] / b[-1].sum()
+        b.reverse()
+        assert np.isclose(found, logs)
+        for t, s in enumerate(seq):
+            emit[s] += a[t] * b[t] / (a[t] @ b[t])
+            if t:
+                both = model.move * np.outer(a[t - 1], model.emit[s] * b[t])
+                moves += both / both.sum()
+        starts += a[0] * b[0] / (a[0] @ b[0])
+    got = hmm.Trellis(seqs, model).expected()
+    assert all(np.allclose(x, y) for x, y in zip(got, (starts, moves, emit), strict=True))
+
+
 def test_mixing(docs, no_docs):
     documents, pieces = mixing.mix(docs, block=50, shard_blocks=7)
     got = mixing.taken(documents, pieces).collect()

@@ -40,6 +40,8 @@ PRIOR = 200.0
 _TOKENS = 200_000  # worked on at a time
 _HELD = 400_000  # words counted in a task before they are handed on
 _CHUNK = 4_096  # symbols in one row of expected counts
+_SCALED = 8  # steps from one scaling of the forward probabilities to the next
+_ROWS = 1 << 14  # rows of a trellis whose moves are summed at a time
 _SUMMING = 3  # tasks for a core that sum expected counts
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -189,29 +191,38 @@ class Trellis:
         self.likely = model.emit[self.symbols]
 
     def forward(self) -> tuple[np.ndarray, np.ndarray]:
-        """Scaled forward probabilities and the scales (their product is the likelihood)."""
-        alpha = self.likely.copy()
-        scale = np.empty(len(alpha))
+        """Forward probabilities, scaled at every ``_SCALED``th step, and the scales of these steps'
+        rows (1 elsewhere; their product is that of the steps before the end of a sequence).
+        """
+        alpha, move = self.likely.copy(), self.model.move
+        scale = np.ones(len(alpha))
         a = alpha[: self.alive[0]]
         a *= self.model.start
+        held = np.empty_like(a)
         edges = self.offsets.tolist()
         for t, n in enumerate(self.alive.tolist()):
             here = alpha[edges[t] : edges[t] + n]
             if t:
-                here *= a[:n] @ self.model.move
-            total = here.sum(axis=1)
-            here /= total[:, None]
-            scale[edges[t] : edges[t] + n] = total
+                here *= np.matmul(a[:n], move, out=held[:n])
+            if t % _SCALED == 0:
+                total = here @ np.ones(len(move))
+                here /= total[:, None]
+                scale[edges[t] : edges[t] + n] = total
             a = here
         return alpha, scale
 
+    def _last(self) -> np.ndarray:
+        """The row of every sequence's last step."""
+        lengths = np.searchsorted(-self.alive, -np.arange(self.alive[0]), side="left")
+        return self.offsets[lengths - 1] + np.arange(len(lengths))
+
     def log10(self) -> np.ndarray:
         """Log10 likelihood of every sequence, in the order they were given."""
-        _, scale = self.forward()
-        logs, out = np.log10(scale), np.zeros(len(self.order))
-        edges = self.offsets.tolist()
-        for t, n in enumerate(self.alive.tolist()):
-            out[:n] += logs[edges[t] : edges[t] + n]
+        alpha, scale = self.forward()
+        out = np.log10(alpha[self._last()].sum(axis=1))
+        for t in range(0, self.steps, _SCALED):
+            n, edge = self.alive[t], self.offsets[t]
+            out[:n] += np.log10(scale[edge : edge + n])
         back = np.empty_like(out)
         back[self.order] = out
         return back
@@ -220,21 +231,24 @@ class Trellis:
         """Expected counts of starts, moves and emissions (symbol, state)."""
         alpha, scale = self.forward()
         move, k = self.model.move, len(self.model.start)
-        gamma, moves = alpha, np.zeros((k, k))
-        ahead = self.likely
-        ahead /= scale[:, None]
+        ahead, beta, turned = self.likely, np.empty_like(alpha), np.ascontiguousarray(move.T)
+        # a sequence's last step stands for one over what its forward probabilities sum to
+        last = self._last()
+        beta[last] = (1 / alpha[last].sum(axis=1))[:, None]
         edges, alive = self.offsets.tolist(), self.alive.tolist()
-        back = np.ones((alive[-1], k))
         for t in range(self.steps - 1, 0, -1):
-            n, here = alive[t], slice(edges[t], edges[t] + alive[t])
-            ahead[here] *= back
-            gamma[here] *= back
-            coming = ahead[here]
-            before = alpha[edges[t - 1] : edges[t - 1] + n]
-            moves += before.T @ coming
-            back = np.ones((alive[t - 1], k))
-            back[:n] = coming @ move.T
-        gamma[: alive[0]] *= back
+            n, edge = alive[t], edges[t]
+            coming = ahead[edge : edge + n]
+            coming *= beta[edge : edge + n]
+            if t % _SCALED == 0:
+                coming /= scale[edge : edge + n, None]
+            np.matmul(coming, turned, out=beta[edges[t - 1] : edges[t - 1] + n])
+        moves, before = np.zeros((k, k)), np.arange(alive[0], edges[-1]) - np.repeat(self.alive[:-1], self.alive[1:])
+        for first in range(0, len(before), _ROWS):
+            part = before[first : first + _ROWS]
+            moves += alpha[part].T @ ahead[alive[0] + first : alive[0] + first + len(part)]
+        gamma = alpha
+        gamma *= beta
         size = len(self.model.emit)
         emit = np.stack([np.bincount(self.symbols, gamma[:, i], size) for i in range(k)], axis=1)
         return gamma[: alive[0]].sum(axis=0), moves * move, emit
