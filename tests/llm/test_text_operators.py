@@ -10,12 +10,13 @@ from itertools import combinations, pairwise
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
 from wagegrid.llm import bpe, hmm, language, line_dedup, mixing, near_text, words
-from wagegrid.llm.common import held_out
+from wagegrid.llm.common import give_back, held_out
 from wagegrid.llm.queries import tokenizer
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -347,6 +348,29 @@ def test_long_sequences_are_scaled_now_and_then():
     assert all(np.allclose(x, y) for x, y in zip(got, (starts, moves, emit), strict=True))
 
 
+def test_freed_memory_goes_back_and_few_profiles_are_held(spark, monkeypatch):
+    def held():
+        with open("/proc/self/smaps_rollup") as file:
+            return sum(int(x) for x in re.findall(r"\nPss_(?:Anon|Shmem):\s+(\d+)", file.read())) / 1024
+
+    made = [bytes(700) for _ in range(300_000)]
+    some = made[::500]
+    del made
+    before = held()
+    give_back()
+    assert len(some) == 600 and held() < before - 100
+    calls, profiles = [], language.text_profiles
+    monkeypatch.setattr(language, "_SCORED_CHARS", 50)
+    monkeypatch.setattr(language, "text_profiles", lambda texts: calls.append(texts) or profiles(texts))
+    monkeypatch.setattr(language, "map_batches", lambda df, make, schema: make)
+    learned = spark.createDataFrame([("en", ord("a"), 0), ("de", ord("z"), 0)], "lang string, gram long, place int")
+    texts = pa.array(["a aa", None, "z zz" * 30, "", "a b", "zu"])
+    score = language.with_language(spark.createDataFrame([], "text string"), learned)
+    got = score(pa.record_batch({"text": texts}))
+    assert got.column("lang_pred").to_pylist() == ["en", "und", "de", "und", "en", "de"]
+    assert len(calls) == 3 and [t for part in calls for t in part] == texts.to_pylist()
+
+
 def test_mixing(docs, no_docs):
     documents, pieces = mixing.mix(docs, block=50, shard_blocks=7)
     got = mixing.taken(documents, pieces).collect()

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from wagegrid.llm.common import slices
+from wagegrid.llm.common import give_back, slices
 
 #: Letters and numbers that came after version 16 of Unicode (first, last).
 #: The tables that the ids must agree with know them as neither.
@@ -178,6 +178,7 @@ class Tokenizer:
                 codec = _codec(held.value, pattern)
                 for first, last in slices(_sizes(batch.column(column)), SLICE_BYTES):
                     yield make(codec, batch.slice(first, last - first))
+                give_back()
 
         return df.mapInArrow(run, schema)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -17,6 +18,19 @@ def held_out(key: Column, modulus: int, rest: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % modulus == rest, F.lit(False))
 
 
+#: The C library of the process, where it can return freed memory.
+_LIBC = ctypes.CDLL(None)
+
+
+def give_back() -> None:
+    """Memory that was freed goes back to the system: a worker waits for its next task with what it
+    holds, while the executor's heap and the other workers need the room.
+    """
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
 def map_batches(
     df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType
 ) -> DataFrame:
@@ -27,6 +41,8 @@ def map_batches(
             made = make(batch) if batch.num_rows else None
             if made is not None:
                 yield made
+                made = None
+            give_back()
 
     return df.mapInArrow(run, schema)
 

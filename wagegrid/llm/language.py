@@ -11,18 +11,22 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wagegrid.llm.common import map_batches, slices, with_columns
+from wagegrid.llm.common import give_back, map_batches, slices, with_columns
 
 #: N-grams in a profile.
 PROFILE = 300
 #: Characters worked on at a time, and counts a task holds before it hands them on.
 _BATCH_CHARS = 1 << 18
+#: Characters of the texts whose profiles are held at a time.
+_SCORED_CHARS = 1 << 21
 _HELD = 500_000
 _BITS = 21  # of a code point; three of them fill 63 bits
 
@@ -106,6 +110,7 @@ def _counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if sum(len(g) for g, _ in held.values()) > _HELD:
             yield out()
             held.clear()
+        give_back()
     if held:
         yield out()
 
@@ -150,7 +155,9 @@ def with_language(
 
     def score(batch: pa.RecordBatch) -> pa.RecordBatch:
         langs, scores = [], []
-        for grams in text_profiles(batch.column(text_col).to_pylist()):
+        texts = batch.column(text_col)
+        parts = slices(pc.fill_null(pc.utf8_length(texts), 0).to_pylist(), _SCORED_CHARS)
+        for grams in chain.from_iterable(text_profiles(texts.slice(a, b - a).to_pylist()) for a, b in parts):
             if not len(grams) or not names:
                 langs.append("und")
                 scores.append(0.0)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from wagegrid import settings
 from wagegrid.llm import words
-from wagegrid.llm.common import map_batches, slices, with_columns
+from wagegrid.llm.common import give_back, map_batches, slices, with_columns
 from wagegrid.llm.graph import components
 
 #: Words for each block of the SimHash, and fewest blocks.
@@ -175,6 +175,7 @@ def _lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 **{k: pa.array(facts[k][order]) for k in ("line", "h1", "h2", "length")},
                 "keys": keys.take(pa.array(order)),
             })
+            give_back()
 
 
 def edit_distance(a: str, b: str) -> int:
