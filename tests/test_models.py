@@ -13,6 +13,7 @@ from wagegrid.operators import (
     boosting,
     dictionaries,
     features,
+    linear,
     models,
     neural,
     positions,
@@ -168,6 +169,62 @@ def test_compare(training):
     assert all(r.mean_score == 1.0 and r.sd_score == 0.0 for r in table)
 
 
+def _jobs(spark, name, run):
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        found = run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return found, len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+
+@pytest.mark.parametrize("maker, most", [
+    (models.logistic(), 40), (models.linear_svm(), 130), (models.boosted_trees(rounds=12), 55),
+])
+def test_folds_are_trained_in_the_same_jobs(spark, maker, most):
+    _, _, rows = _mixed_rows(spark)
+    rows = rows.withColumn("fold", F.expr("int(id % 6)")).coalesce(2).cache()
+    scored, jobs = _jobs(spark, f"folds-{most}", lambda: models.cross_validate(rows, maker).collect())
+    assert jobs <= most
+    # the same as models of their own, but for rows on the edge
+    for r in scored:
+        alone = models.fit(rows.where(f"fold <> {r.fold}"), maker)
+        right = models.predictions(alone, rows.where(f"fold = {r.fold}")).where("prediction = label").count()
+        assert r.n == 50 and abs(right - 50 * r.accuracy) <= 2
+
+
+def test_hinge_machine_reaches_the_optimum(spark):
+    x, y, rows = _mixed_rows(spark)
+    held = rows.select("label", sparse_rows.held("features").alias("v"), F.lit(0).alias("fold"))
+    w = linear.train(linear.packed(held), {0: 1 / 300}, 5, linear.hinge_loss, 100, 1e-6, own=True)[0]
+    value = lambda w: np.maximum(0, 1 - (2 * y - 1) * (x @ w[:-1] + w[-1])).mean() + w[:-1] @ w[:-1] / 600
+    draw = np.random.default_rng(4)
+    assert all(value(w) < value(w + draw.normal(0, size, 6)) + 0.01 for size in (0.01, 0.1, 1) for _ in range(300))
+    found = models.fit(rows, models.linear_svm())
+    assert value(w) < value(np.array([*found.coefficients.toArray(), found.intercept])) + 0.01
+
+
+def test_rows_apart_from_two_classes_are_left_to_the_machines(spark):
+    rows = _mixed_rows(spark)[2].withColumn("label", F.col("id") % 3).withColumn("fold", F.expr("int(id % 2)"))
+    assert models.logistic()(300, 5).fit_folds(rows, "fold", {0: models.logistic()(150, 5)}) is None
+    assert sum(r.n for r in models.cross_validate(rows, models.logistic(max_iter=5)).collect()) == 300
+
+
+@pytest.mark.parametrize("driver", [0, 1 << 30])
+def test_sums_of_groups_and_of_the_driver_agree(spark, monkeypatch, driver):
+    x, y, rows = _mixed_rows(spark)
+    monkeypatch.setattr(neural, "DRIVER_NUMBERS", driver)
+    monkeypatch.setattr(boosting, "DRIVER_KEYS", driver)
+    monkeypatch.setattr(boosting, "SHARE_PLACES", 2)
+    edges = boosting.feature_edges(rows.select(sparse_rows.held("features").alias("v")), "v")
+    found = boosting.SecondOrderTrees(rounds=3, rate=0.3).fit(rows).transform(rows).orderBy("id").collect()
+    assert [r.prediction for r in found] == (_plain_trees(x, y, edges, 3, 0.3, 3, 1.0, 1.0) > 0).astype(float).tolist()
+    held = rows.select("label", sparse_rows.held("features").alias("v"), F.lit(0).alias("fold"))
+    w = linear.train(linear.packed(held), {0: 1 / 300}, 5, linear.logistic_loss, 100, 1e-9, own=True)[0]
+    share = 1 / (1 + np.exp(-(x @ w[:-1] + w[-1])))
+    assert np.allclose(x.T @ (share - y) / 300 + w[:-1] / 300, 0, atol=1e-6) and abs((share - y).sum()) < 1e-4
+
+
 def test_compared_runs_train_side_by_side(training):
     rows, _ = training
     met = threading.Barrier(2, timeout=60)
