@@ -21,6 +21,7 @@ from wagegrid.operators import (
     stages,
     stats,
 )
+from wagegrid.plans import model_queries
 
 
 @pytest.fixture(scope="module")
@@ -210,6 +211,14 @@ def test_rows_apart_from_two_classes_are_left_to_the_machines(spark):
     assert sum(r.n for r in models.cross_validate(rows, models.logistic(max_iter=5)).collect()) == 300
 
 
+def test_boosted_trees_query_takes_all_rounds(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(model_queries, "_scored", lambda spark, folder, feature_set, maker, *k: seen.append((feature_set, maker(10, 3))))
+    model_queries.boosted_trees(spark, "nowhere")
+    (feature_set, made), = seen
+    assert feature_set == "titles" and [made.getOrDefault(made.getParam(p)) for p in ("rounds", "rate", "maxDepth")] == [100, 0.1, 3]
+
+
 @pytest.mark.parametrize("driver", [0, 1 << 30])
 def test_sums_of_groups_and_of_the_driver_agree(spark, monkeypatch, driver):
     x, y, rows = _mixed_rows(spark)
